@@ -11,10 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.oracle import oracle_sql as _oracle_sql
+from ledgerlake.operators.validate import (
+    anomaly_rows, dead_letter, flag_rows, fraud_ingest_summary, ingest_summary,
+    validation_result, valid_rows,
+)
 from ledgerlake.operators.velocity import hourly_velocity
+from ledgerlake.sources.lake import zone_path
 from ledgerlake.plans.compare import comparable
 from ledgerlake.plans.enriched import transactions_enriched
 from ledgerlake.plans.marts import mart_fraud_detection, mart_transaction_summary
@@ -22,6 +27,7 @@ from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
 from ledgerlake.sources.fixtures import raw_inputs
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+RUN_DATE = "2024-01-03"  # partition (run) date used by the ingest-style queries
 
 
 def _staged(spark: SparkSession, sf_dir: str):
@@ -58,6 +64,37 @@ def q_mart_fraud_detection(spark, sf_dir):
     return comparable(mart_fraud_detection(_enriched(spark, sf_dir)))
 
 
+def _raw_txn(spark, sf_dir):
+    return raw_inputs(spark, sf_dir)[0]
+
+
+def q_validate_rule_counts(spark, sf_dir):
+    return comparable(validation_result(_raw_txn(spark, sf_dir)))
+
+
+def q_valid_rows(spark, sf_dir):
+    return comparable(valid_rows(flag_rows(_raw_txn(spark, sf_dir))))
+
+
+def q_dead_letter(spark, sf_dir):
+    return comparable(dead_letter(flag_rows(_raw_txn(spark, sf_dir)),
+                                  F.lit(RUN_DATE).cast("date")))
+
+
+def q_ingest_summary(spark, sf_dir):
+    res = validation_result(_raw_txn(spark, sf_dir))
+    return comparable(ingest_summary(res, RUN_DATE, zone_path("raw", "transactions", RUN_DATE)))
+
+
+def q_fraud_ingest_summary(spark, sf_dir):
+    raw_f = raw_inputs(spark, sf_dir)[1]
+    return comparable(fraud_ingest_summary(raw_f, zone_path("raw", "fraud_signals", RUN_DATE)))
+
+
+def q_anomaly_large(spark, sf_dir):
+    return comparable(anomaly_rows(_raw_txn(spark, sf_dir)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the hourly KPI mart over the sf0.001 tables."""
     return q_mart_transaction_summary(spark, SMOKE_DIR)
@@ -71,6 +108,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "txn_enriched": q_txn_enriched,
         "mart_transaction_summary": q_mart_transaction_summary,
         "mart_fraud_detection": q_mart_fraud_detection,
+        "validate_rule_counts": q_validate_rule_counts,
+        "valid_rows": q_valid_rows,
+        "dead_letter": q_dead_letter,
+        "ingest_summary": q_ingest_summary,
+        "fraud_ingest_summary": q_fraud_ingest_summary,
+        "anomaly_large": q_anomaly_large,
     }
 
 

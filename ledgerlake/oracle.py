@@ -139,13 +139,85 @@ FROM enriched
 WHERE is_fraud_flagged = TRUE OR requires_review = TRUE""",
 }
 
+MODEL_CTES["flags"] = """
+SELECT r.*,
+  transaction_id IS NULL AS null_transaction_id,
+  account_id IS NULL AS null_account_id,
+  (amount IS NULL OR isnan(amount)) AS null_amount,
+  currency IS NULL AS null_currency,
+  "timestamp" IS NULL AS null_timestamp,
+  COUNT(*) OVER (PARTITION BY transaction_id) > 1 AS duplicate_transaction_id,
+  COALESCE(amount < 0 AND NOT isnan(amount), FALSE) AS negative_amount,
+  COALESCE(transaction_type NOT IN ('debit', 'credit', 'transfer', 'withdrawal', 'deposit'), TRUE)
+    AS invalid_transaction_type,
+  COALESCE(amount = 0, FALSE) AS zero_amount,
+  COALESCE(amount > 1000000 AND NOT isnan(amount), FALSE) AS amount_over_1m,
+  COALESCE(currency NOT IN ('USD', 'EUR', 'GBP', 'JPY', 'CAD', 'AUD', 'CHF'), TRUE)
+    AS unsupported_currency,
+  COALESCE(status NOT IN ('completed', 'pending', 'failed', 'reversed'), TRUE)
+    AS unsupported_status
+FROM raw_transactions r"""
+MODEL_CTES["flagged"] = """
+SELECT *, (null_transaction_id OR null_account_id OR null_amount OR null_currency
+           OR null_timestamp OR duplicate_transaction_id OR negative_amount
+           OR invalid_transaction_type) AS is_invalid
+FROM flags"""
+MODEL_CTES["vcounts"] = """
+SELECT COUNT(*) AS total_rows,
+  COUNT(*) FILTER (WHERE is_invalid) AS error_count,
+  COUNT(*) FILTER (WHERE null_transaction_id) AS null_transaction_id,
+  COUNT(*) FILTER (WHERE null_account_id) AS null_account_id,
+  COUNT(*) FILTER (WHERE null_amount) AS null_amount,
+  COUNT(*) FILTER (WHERE null_currency) AS null_currency,
+  COUNT(*) FILTER (WHERE null_timestamp) AS null_timestamp,
+  COUNT(*) FILTER (WHERE duplicate_transaction_id) AS duplicate_transaction_id,
+  COUNT(*) FILTER (WHERE negative_amount) AS negative_amount,
+  COUNT(*) FILTER (WHERE invalid_transaction_type) AS invalid_transaction_type,
+  COUNT(*) FILTER (WHERE zero_amount) AS zero_amount,
+  COUNT(*) FILTER (WHERE amount_over_1m) AS amount_over_1m,
+  COUNT(*) FILTER (WHERE unsupported_currency) AS unsupported_currency,
+  COUNT(*) FILTER (WHERE unsupported_status) AS unsupported_status
+FROM flagged"""
+MODEL_CTES["vresult"] = """
+SELECT error_count = 0 AS passed, total_rows, total_rows - error_count AS valid_rows,
+  error_count,
+  CASE WHEN total_rows > 0 THEN CAST(total_rows - error_count AS DOUBLE) / total_rows
+       ELSE 0.0 END AS pass_rate,
+  concat_ws('|',
+    CASE WHEN null_transaction_id > 0 THEN 'Column ''transaction_id'' has ' || null_transaction_id || ' null values' END,
+    CASE WHEN null_account_id > 0 THEN 'Column ''account_id'' has ' || null_account_id || ' null values' END,
+    CASE WHEN null_amount > 0 THEN 'Column ''amount'' has ' || null_amount || ' null values' END,
+    CASE WHEN null_currency > 0 THEN 'Column ''currency'' has ' || null_currency || ' null values' END,
+    CASE WHEN null_timestamp > 0 THEN 'Column ''timestamp'' has ' || null_timestamp || ' null values' END,
+    CASE WHEN duplicate_transaction_id > 0 THEN 'Found ' || duplicate_transaction_id || ' duplicate transaction_ids' END,
+    CASE WHEN negative_amount > 0 THEN negative_amount || ' transactions have negative amounts' END,
+    CASE WHEN invalid_transaction_type > 0 THEN invalid_transaction_type || ' rows have invalid transaction_type' END
+  ) AS errors,
+  concat_ws('|',
+    CASE WHEN zero_amount > 0 THEN zero_amount || ' transactions have zero amount' END,
+    CASE WHEN amount_over_1m > 0 THEN amount_over_1m || ' transactions exceed $1M — verify legitimacy' END,
+    CASE WHEN unsupported_currency > 0 THEN unsupported_currency || ' rows have unsupported currency codes' END
+  ) AS warnings,
+  null_transaction_id AS n_null_transaction_id, null_account_id AS n_null_account_id,
+  null_amount AS n_null_amount, null_currency AS n_null_currency,
+  null_timestamp AS n_null_timestamp, duplicate_transaction_id AS n_duplicate_transaction_id,
+  negative_amount AS n_negative_amount, invalid_transaction_type AS n_invalid_transaction_type,
+  zero_amount AS n_zero_amount, amount_over_1m AS n_amount_over_1m,
+  unsupported_currency AS n_unsupported_currency, unsupported_status AS n_unsupported_status
+FROM vcounts"""
+
+RUN_DATE = "2024-01-03"
+RAW_COLS = ("transaction_id, account_id, amount, currency, transaction_type, merchant_id, "
+            '"timestamp", status, region, channel, ip_address, device_id, ingested_at')
+
 _ORDER = list(RAW_CTES) + list(MODEL_CTES)
 _DEPS = {
     "ev": [], "txn_base": ["ev"], "raw_transactions": ["txn_base"], "sig_scores": ["ev"],
     "raw_fraud_signals": ["sig_scores"], "stg_transactions": ["raw_transactions"],
     "stg_fraud_signals": ["raw_fraud_signals"], "velocity": ["stg_transactions"],
     "enriched": ["stg_transactions", "stg_fraud_signals", "velocity"],
-    "fraud_mart": ["enriched"],
+    "fraud_mart": ["enriched"], "flags": ["raw_transactions"], "flagged": ["flags"],
+    "vcounts": ["flagged"], "vresult": ["vcounts"],
 }
 _ALL = {**RAW_CTES, **MODEL_CTES}
 
@@ -229,4 +301,33 @@ SELECT transaction_id, account_id, merchant_id, {dbl('amount_usd')}, currency_co
   requires_review, aml_flag, is_large_transaction, risk_priority, recommended_action
 FROM fraud_mart
 ORDER BY risk_priority ASC, fraud_score DESC, transaction_id ASC""")
+    q["validate_rule_counts"] = with_ctes(["vresult"], "SELECT * FROM vresult")
+    q["valid_rows"] = with_ctes(["flagged"], f"SELECT {RAW_COLS} FROM flagged WHERE NOT is_invalid")
+    q["dead_letter"] = with_ctes(["flagged"], f"""
+SELECT {RAW_COLS},
+  concat_ws('|',
+    CASE WHEN null_transaction_id THEN 'null_transaction_id' END,
+    CASE WHEN null_account_id THEN 'null_account_id' END,
+    CASE WHEN null_amount THEN 'null_amount' END,
+    CASE WHEN null_currency THEN 'null_currency' END,
+    CASE WHEN null_timestamp THEN 'null_timestamp' END,
+    CASE WHEN duplicate_transaction_id THEN 'duplicate_transaction_id' END,
+    CASE WHEN negative_amount THEN 'negative_amount' END,
+    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END) AS reject_reasons,
+  DATE '{RUN_DATE}' AS batch_date
+FROM flagged WHERE is_invalid""")
+    q["ingest_summary"] = with_ctes(["vresult"], f"""
+SELECT 'transactions' AS entity, '{RUN_DATE}' AS partition_date, total_rows AS rows_fetched,
+  valid_rows AS rows_valid, error_count AS rows_rejected,
+  printf('%.1f%%', pass_rate * 100) AS pass_rate,
+  'raw/transactions/year={RUN_DATE[:4]}/month={RUN_DATE[5:7]}/day={RUN_DATE[8:]}' AS lake_path,
+  warnings
+FROM vresult""")
+    q["fraud_ingest_summary"] = with_ctes(["raw_fraud_signals"], f"""
+SELECT COUNT(*) AS total_scored, COUNT(*) FILTER (WHERE is_flagged) AS flagged,
+  printf('%.1f%%', CAST(COUNT(*) FILTER (WHERE is_flagged) AS DOUBLE) / COUNT(*) * 100) AS flag_rate,
+  'raw/fraud_signals/year={RUN_DATE[:4]}/month={RUN_DATE[5:7]}/day={RUN_DATE[8:]}' AS lake_path
+FROM raw_fraud_signals""")
+    q["anomaly_large"] = with_ctes(["raw_transactions"], f"""
+SELECT {RAW_COLS} FROM raw_transactions WHERE amount > 1000000 AND NOT isnan(amount)""")
     return q
