@@ -14,17 +14,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.oracle import oracle_sql as _oracle_sql
+from ledgerlake.constants import TRANSACTIONS_LENGTHS
+from ledgerlake.functions.risk import risk_tier, signal_columns
+from ledgerlake.operators.constraints import (
+    fk_orphans, length_violations, not_null_violations, pk_violations,
+)
+from ledgerlake.operators.evolve import warehouse_transactions
 from ledgerlake.operators.validate import (
     anomaly_rows, dead_letter, flag_rows, fraud_ingest_summary, ingest_summary,
     validation_result, valid_rows,
 )
-from ledgerlake.operators.velocity import hourly_velocity
+from ledgerlake.operators.velocity import hourly_velocity, rolling_velocity_1h
+from ledgerlake.plans.data_tests import accepted_values_tests, data_tests_report
 from ledgerlake.sources.lake import zone_path
 from ledgerlake.plans.compare import comparable
-from ledgerlake.plans.enriched import transactions_enriched
-from ledgerlake.plans.marts import mart_fraud_detection, mart_transaction_summary
+from ledgerlake.plans.enriched import latest_signal, transactions_enriched
+from ledgerlake.plans.marts import (
+    mart_compliance, mart_fraud_detection, mart_transaction_summary,
+)
 from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
-from ledgerlake.sources.fixtures import raw_inputs
+from ledgerlake.sources.fixtures import raw_inputs, read_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_DATE = "2024-01-03"  # partition (run) date used by the ingest-style queries
@@ -95,6 +104,66 @@ def q_anomaly_large(spark, sf_dir):
     return comparable(anomaly_rows(_raw_txn(spark, sf_dir)))
 
 
+def q_fraud_risk_rules(spark, sf_dir):
+    """The scorer's rules (round to 4 dp, flag and reasons on the unrounded score, tier on
+    the stored score) over an unrounded score derived from each event id."""
+    ev = read_table(spark, sf_dir, "events").select("event_id")
+    u = F.pmod(F.col("event_id") * 7919, F.lit(1000003)).cast("double") / 1000003
+    scored = ev.select(F.col("event_id").cast("string").alias("transaction_id"),
+                       u.alias("raw_score"), *signal_columns(u))
+    return comparable(scored.withColumn(
+        "risk_tier", risk_tier(F.col("fraud_score").cast("decimal(6,4)"))))
+
+
+def q_latest_signal(spark, sf_dir):
+    return comparable(latest_signal(_staged(spark, sf_dir)[1]))
+
+
+def q_mart_compliance(spark, sf_dir):
+    return comparable(mart_compliance(_enriched(spark, sf_dir)))
+
+
+def q_warehouse_transactions_v3(spark, sf_dir):
+    return comparable(warehouse_transactions(_enriched(spark, sf_dir), 3))
+
+
+def q_pk_violations(spark, sf_dir):
+    return comparable(pk_violations(warehouse_transactions(_enriched(spark, sf_dir), 3),
+                                    ["transaction_id"]))
+
+
+def q_fk_orphans(spark, sf_dir):
+    t, f = _staged(spark, sf_dir)
+    return comparable(fk_orphans(f, t, "transaction_id", "transaction_id"))
+
+
+def q_not_null_violations(spark, sf_dir):
+    return comparable(not_null_violations(
+        warehouse_transactions(_enriched(spark, sf_dir), 3), "transactions", 3))
+
+
+def q_length_violations(spark, sf_dir):
+    return comparable(length_violations(
+        warehouse_transactions(_enriched(spark, sf_dir), 3), "transactions",
+        TRANSACTIONS_LENGTHS))
+
+
+def q_accepted_values(spark, sf_dir):
+    t, f = _staged(spark, sf_dir)
+    return comparable(accepted_values_tests(t, f))
+
+
+def q_data_tests_report(spark, sf_dir):
+    t, f = _staged(spark, sf_dir)
+    e = transactions_enriched(t, f)
+    return comparable(data_tests_report(t, f, e, mart_transaction_summary(e),
+                                        mart_fraud_detection(e, ordered=False)))
+
+
+def q_velocity_rolling_1h(spark, sf_dir):
+    return comparable(rolling_velocity_1h(_staged(spark, sf_dir)[0]))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the hourly KPI mart over the sf0.001 tables."""
     return q_mart_transaction_summary(spark, SMOKE_DIR)
@@ -114,6 +183,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_summary": q_ingest_summary,
         "fraud_ingest_summary": q_fraud_ingest_summary,
         "anomaly_large": q_anomaly_large,
+        "fraud_risk_rules": q_fraud_risk_rules,
+        "latest_signal": q_latest_signal,
+        "mart_compliance": q_mart_compliance,
+        "warehouse_transactions_v3": q_warehouse_transactions_v3,
+        "pk_violations": q_pk_violations,
+        "fk_orphans": q_fk_orphans,
+        "not_null_violations": q_not_null_violations,
+        "length_violations": q_length_violations,
+        "accepted_values": q_accepted_values,
+        "data_tests_report": q_data_tests_report,
+        "velocity_rolling_1h": q_velocity_rolling_1h,
     }
 
 

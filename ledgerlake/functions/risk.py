@@ -59,3 +59,16 @@ def recommended_action(tier) -> Column:
 def reasons_text(reasons, sep: str = "|") -> Column:
     """Array of codes -> text for the warehouse column; NULL stays NULL."""
     return F.array_join(_c(reasons), sep)
+
+
+def signal_columns(score, params: Params = DEFAULT) -> list[Column]:
+    """A scorer's output record from an unrounded score: the stored (rounded) score, the
+    flag and the reason codes (both decided on the unrounded value), the model version."""
+    from ledgerlake.constants import FRAUD_MODEL_VERSION
+    s = _c(score)
+    return [
+        round_score(s).alias("fraud_score"),
+        is_flagged_score(s, params).alias("is_flagged"),
+        fraud_reasons(s).alias("fraud_reasons"),
+        F.lit(FRAUD_MODEL_VERSION).alias("model_version"),
+    ]
