@@ -310,6 +310,7 @@ SELECT transaction_id, account_id, merchant_id, {dbl('amount_usd')}, currency_co
   requires_review, aml_flag, ingested_at
 FROM enriched""")
     q["mart_transaction_summary"] = with_ctes(["summary"], "SELECT * FROM summary")
+    q["incremental_refresh"] = q["mart_transaction_summary"]
     q["mart_fraud_detection"] = with_ctes(["fraud_mart"], f"""
 SELECT transaction_id, account_id, merchant_id, {dbl('amount_usd')}, currency_code,
   transaction_type, transaction_status, region, channel, transaction_at, transaction_date,
