@@ -302,6 +302,7 @@ FROM stg_fraud_signals""")
 SELECT account_id, transaction_date, transaction_hour, txn_count_1h,
   {dbl('total_amount_1h')}, {dbl('max_amount_1h')}
 FROM velocity""")
+    q["stream_velocity"] = q["velocity_hourly"] + "\nWHERE transaction_date IS NOT NULL"
     q["txn_enriched"] = with_ctes(["enriched"], f"""
 SELECT transaction_id, account_id, merchant_id, {dbl('amount_usd')}, currency_code,
   transaction_type, transaction_status, region, channel, transaction_at, transaction_date,
