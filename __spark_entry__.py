@@ -39,14 +39,36 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_DATE = "2024-01-03"  # partition (run) date used by the ingest-style queries
 
 
+# Logical plans are built once per (session, folder) and shared by the queries: a DataFrame
+# is an immutable lazy plan (no data), and current_timestamp() is evaluated per execution.
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    key = (kind, id(spark), sf_dir)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
+
+
+def _raw(spark: SparkSession, sf_dir: str):
+    return _memo("raw", spark, sf_dir, lambda: raw_inputs(spark, sf_dir))
+
+
 def _staged(spark: SparkSession, sf_dir: str):
-    raw_t, raw_f = raw_inputs(spark, sf_dir)
-    return stg_transactions(raw_t), stg_fraud_signals(raw_f)
+    def build():
+        raw_t, raw_f = _raw(spark, sf_dir)
+        return stg_transactions(raw_t), stg_fraud_signals(raw_f)
+    return _memo("staged", spark, sf_dir, build)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, f = _staged(spark, sf_dir)
-    return transactions_enriched(t, f)
+    def build():
+        t, f = _staged(spark, sf_dir)
+        return transactions_enriched(t, f)
+    return _memo("enriched", spark, sf_dir, build)
 
 
 def q_stg_transactions(spark, sf_dir):
@@ -74,7 +96,7 @@ def q_mart_fraud_detection(spark, sf_dir):
 
 
 def _raw_txn(spark, sf_dir):
-    return raw_inputs(spark, sf_dir)[0]
+    return _raw(spark, sf_dir)[0]
 
 
 def q_validate_rule_counts(spark, sf_dir):
@@ -96,7 +118,7 @@ def q_ingest_summary(spark, sf_dir):
 
 
 def q_fraud_ingest_summary(spark, sf_dir):
-    raw_f = raw_inputs(spark, sf_dir)[1]
+    raw_f = _raw(spark, sf_dir)[1]
     return comparable(fraud_ingest_summary(raw_f, zone_path("raw", "fraud_signals", RUN_DATE)))
 
 
@@ -173,7 +195,7 @@ def q_incremental_refresh(spark, sf_dir):
     from ledgerlake.plans.refresh import incremental_refresh, table_paths
     from ledgerlake.session import shared_path
 
-    raw_t, raw_f = raw_inputs(spark, sf_dir)
+    raw_t, raw_f = _raw(spark, sf_dir)
     root = shared_path(spark, "ledgerlake-incremental", uuid.uuid4().hex)
     tid = F.col("transaction_id").cast("long")
     for b in range(3):

@@ -2,8 +2,8 @@
 
 The reference only ships unseeded random generators, so the raw transaction and fraud-signal
 feeds are derived here from ``events`` by fixed modulo rules (documented in FIXTURES.md).
-Every rule is a column expression, so the mapping is one narrow projection per event plus a
-``unionByName`` for the duplicated and re-scored subsets; it grows linearly with ``events``.
+Every rule is a column expression, so the mapping is one narrow projection per event (with
+a generator for the duplicated and re-scored subsets); it grows linearly with ``events``.
 """
 
 from __future__ import annotations
@@ -16,8 +16,21 @@ from ledgerlake.functions.risk import fraud_reasons
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one shared test table.
+
+    A table stored as one Parquet row group scans as one task, and with broadcast joins the
+    whole pipeline up to the first shuffle would then run in that task. When the scan has
+    fewer splits than the cluster has cores, rows are spread round-robin first (Spark sorts
+    before a round-robin repartition, so a retried task sees the same rows). Inputs made of
+    many files already have enough splits and are left alone.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _k() -> Column:
@@ -76,34 +89,31 @@ def raw_transactions_from_events(events: DataFrame) -> DataFrame:
         F.lit("10.0.0.1").alias("ip_address"),
         F.lit("DEV_10000").alias("device_id"),
         (ts + F.expr("INTERVAL 15 MINUTES")).cast("string").alias("ingested_at"),
-        _k().alias("_k"),
+        # one copy per event, two for k % 211 = 0: a generator, not a second scan + union
+        F.explode(F.when(_mod(211) == 0, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("_copy"),
     )
-    dupes = mapped.filter(F.col("_k") % 211 == 0)
-    return mapped.unionByName(dupes).drop("_k")
+    return mapped.drop("_copy")
 
 
 def raw_fraud_signals_from_events(events: DataFrame) -> DataFrame:
     """Events with ``k % 3 <> 0`` scored by rule, plus a second score 0.8 for ``k % 307 = 0``."""
     e = events.select("event_id", "ts")
-    ts_str = (_folded_ts() + F.expr("INTERVAL 15 MINUTES")).cast("string")
     bucket = F.pmod(_k() * 7919, F.lit(10000))
-    scored = e.filter(_mod(3) != 0).select(
-        _k().cast("string").alias("transaction_id"),
-        (bucket.cast("double") / 10000).alias("fraud_score"),
-        (bucket >= 7500).alias("is_flagged"),
-        fraud_reasons(bucket.cast("double") / 10000).alias("fraud_reasons"),
-        F.lit(FRAUD_MODEL_VERSION).alias("model_version"),
-        ts_str.alias("scored_at"),
-    )
-    rescored = e.filter(_mod(307) == 0).select(
+    rule = F.struct((bucket.cast("double") / 10000).alias("s"), (bucket >= 7500).alias("f"))
+    second = F.struct(F.lit(0.8).alias("s"), F.lit(True).alias("f"))
+    # 0, 1 or 2 scores per event from one scan: the rule score when k % 3 <> 0, and a
+    # second score of 0.8 when k % 307 = 0.
+    scores = F.array_compact(F.array(F.when(_mod(3) != 0, rule), F.when(_mod(307) == 0, second)))
+    exploded = e.select(_k(), "ts", F.explode(scores).alias("sc"))
+    return exploded.select(
         _k().cast("string").alias("transaction_id"),
-        F.lit(0.8).alias("fraud_score"),
-        F.lit(True).alias("is_flagged"),
-        fraud_reasons(F.lit(0.8)).alias("fraud_reasons"),
+        F.col("sc.s").alias("fraud_score"),
+        F.col("sc.f").alias("is_flagged"),
+        fraud_reasons(F.col("sc.s")).alias("fraud_reasons"),
         F.lit(FRAUD_MODEL_VERSION).alias("model_version"),
-        ts_str.alias("scored_at"),
+        (_folded_ts() + F.expr("INTERVAL 15 MINUTES")).cast("string").alias("scored_at"),
     )
-    return scored.unionByName(rescored)
 
 
 def raw_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
