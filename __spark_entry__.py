@@ -122,6 +122,13 @@ def q_fraud_ingest_summary(spark, sf_dir):
     return comparable(fraud_ingest_summary(raw_f, zone_path("raw", "fraud_signals", RUN_DATE)))
 
 
+def q_schema_drift(spark, sf_dir):
+    """The landed feed checked against the expected raw schema, value by value."""
+    from ledgerlake.operators.validate import schema_drift
+    from ledgerlake.schemas import RAW_TRANSACTIONS
+    return comparable(schema_drift(_raw_txn(spark, sf_dir), RAW_TRANSACTIONS))
+
+
 def q_anomaly_large(spark, sf_dir):
     return comparable(anomaly_rows(_raw_txn(spark, sf_dir)))
 
@@ -251,6 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_summary": q_ingest_summary,
         "fraud_ingest_summary": q_fraud_ingest_summary,
         "anomaly_large": q_anomaly_large,
+        "schema_drift": q_schema_drift,
         "fraud_risk_rules": q_fraud_risk_rules,
         "latest_signal": q_latest_signal,
         "mart_compliance": q_mart_compliance,

@@ -348,6 +348,18 @@ SELECT COUNT(*) AS total_scored, COUNT(*) FILTER (WHERE is_flagged) AS flagged,
 FROM raw_fraud_signals""")
     q["anomaly_large"] = with_ctes(["raw_transactions"], f"""
 SELECT {RAW_COLS} FROM raw_transactions WHERE amount > 1000000 AND NOT isnan(amount)""")
+    raw_types = [("transaction_id", "VARCHAR", "string"), ("account_id", "VARCHAR", "string"),
+                 ("amount", "DOUBLE", "double"), ("currency", "VARCHAR", "string"),
+                 ("transaction_type", "VARCHAR", "string"), ("merchant_id", "VARCHAR", "string"),
+                 ("timestamp", "VARCHAR", "string"), ("status", "VARCHAR", "string"),
+                 ("region", "VARCHAR", "string"), ("channel", "VARCHAR", "string"),
+                 ("ip_address", "VARCHAR", "string"), ("device_id", "VARCHAR", "string"),
+                 ("ingested_at", "VARCHAR", "string")]
+    q["schema_drift"] = with_ctes(["raw_transactions"], "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, 'ok' AS issue, '{st}' AS expected_type, "
+        f"'{st}' AS actual_type, COUNT(*) FILTER (WHERE \"{c}\" IS NOT NULL AND "
+        f"TRY_CAST(\"{c}\" AS {dt}) IS NULL) AS bad_values FROM raw_transactions"
+        for c, dt, st in raw_types))
     q["fraud_risk_rules"] = with_ctes(["ev"], """
 SELECT transaction_id, raw_score, fraud_score, is_flagged,
   array_to_string(list_filter([
