@@ -5,17 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join a fact table to a table with at most one row per key.
-
-    No broadcast hint: the lookup side (e.g. hourly velocity) grows with the data. The
-    optimizer broadcasts it only when its estimated size is under
-    ``spark.sql.autoBroadcastJoinThreshold``; otherwise it is a sort-merge join, which AQE
-    may still turn into a broadcast from the real shuffle sizes, and whose hot partitions
-    (one account holding a large share of rows) AQE splits with ``skewJoin`` because the
-    fact table is on the preserved (left) side.
+def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
+                count_col: str | None = None, hot_rows: int | None = None,
+                max_hot_keys: int = 1000, salt_cols: list[str] | None = None) -> DataFrame:
+    """Join a fact table to a table with at most one row per key, safe for hot keys.
+
+    No broadcast hint on ``lookup``: it grows with the data (e.g. hourly velocity). Spark
+    broadcasts it only if its size estimate is under ``autoBroadcastJoinThreshold`` (or
+    AQE does from real sizes); otherwise it is a sort-merge join.
+
+    When ``lookup`` carries the number of fact rows per key (``count_col``) and
+    ``hot_rows`` is set, keys with more than ``hot_rows`` rows are split: the hottest
+    ``max_hot_keys`` of them (a proven bound on what is broadcast) get
+    ``ceil(count / hot_rows)`` salt values; each fact row of a hot key takes a salt from a
+    hash of ``salt_cols`` and its input partition id, and the lookup row is replicated
+    once per salt. An input split always holds the same rows, so a retried task assigns
+    the same salts; identical copies in different splits spread, and copies within one
+    split are bounded by the split size. The hot key then spreads over that many shuffle partitions
+    instead of one task. Hot keys beyond the first ``max_hot_keys`` still join correctly,
+    just unsplit. Equi-join semantics are kept: NULL keys never match.
     """
-    return big.join(lookup, on=keys, how=how)
+    if count_col is None or hot_rows is None:
+        return big.join(lookup, on=keys, how=how)
+    salts = F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(4096)).cast("int")
+    hot = (lookup.filter(F.col(count_col) > hot_rows)
+           .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
+           .select(*keys, salts.alias("_salts")))
+    hot = F.broadcast(hot)  # at most max_hot_keys rows
+    salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or big.columns)],
+                          F.spark_partition_id())
+    big_s = (big.join(hot, on=keys, how="left")
+             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")))
+             .drop("_salts"))
+    lookup_s = (lookup.join(hot, on=keys, how="left")
+                .withColumn("_salt", F.explode(
+                    F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
+                     .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
+                .drop("_salts"))
+    return big_s.join(lookup_s, on=keys + ["_salt"], how=how).drop("_salt")
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:

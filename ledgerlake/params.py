@@ -25,6 +25,10 @@ class Params:
     apply_lookback: bool = False
     signal_dedup: str = "none"                # "none" keeps the fan-out; "latest" keeps one signal per id
     fraud_reasons_separator: str = "|"
+    # Skew handling: a join key with more rows than this is split over ceil(n / hot_key_rows)
+    # partitions; at most max_hot_keys such keys are broadcast as the hot-key list.
+    hot_key_rows: int | None = 1_000_000
+    max_hot_keys: int = 1000
 
 
 DEFAULT = Params()
