@@ -183,8 +183,13 @@ def q_accepted_values(spark, sf_dir):
 
 
 def q_data_tests_report(spark, sf_dir):
-    t, f = _staged(spark, sf_dir)
-    e = transactions_enriched(t, f)
+    """Data tests over the materialised models: staging and the enriched model are
+    checkpointed once (reliable checkpoint in the session's shared folder) and every test
+    and mart reads them instead of recomputing the DAG."""
+    from ledgerlake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    t, f = (d.checkpoint() for d in _staged(spark, sf_dir))
+    e = transactions_enriched(t, f).checkpoint()
     return comparable(data_tests_report(t, f, e, mart_transaction_summary(e),
                                         mart_fraud_detection(e, ordered=False)))
 

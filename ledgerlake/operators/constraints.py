@@ -77,6 +77,43 @@ def _one_pass_tests(df: DataFrame, model: str, not_null: list[str],
         F.lit(model).alias("model"), "s.column_name", "s.test", "s.failures")
 
 
+def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
+                accepted: dict | None = None, unique: list[str] | None = None) -> DataFrame:
+    """Every not_null / accepted_values / unique test of one model in one two-phase pass.
+
+    With a unique key, rows are grouped by it (partial aggregation first, so a repeated key
+    is combined map-side) carrying per-group counts of NULLs and rejected values; a global
+    aggregate then sums those and counts the groups seen more than once. Without one it is
+    a single global aggregate. dbt semantics: accepted_values ignores NULLs; a single-column
+    unique test ignores NULL keys.
+    """
+    accepted = accepted or {}
+    checks = [(f"nn:{c}", "not_null", c, F.col(c).isNull()) for c in not_null]
+    checks += [(f"av:{c}", "accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(*v))
+               for c, v in accepted.items()]
+    if unique:
+        grouped = df.groupBy(*unique).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count_if(cond).alias(name) for name, _, _, cond in checks])
+        dup = F.col("_n") > 1
+        if len(unique) == 1:
+            dup = dup & F.col(unique[0]).isNotNull()
+        counts = grouped.agg(
+            F.count_if(dup).alias("uq"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _, _, _ in checks])
+        entries = [(name, test, col) for name, test, col, _ in checks]
+        entries.append(("uq", "unique", "+".join(unique)))
+    else:
+        counts = df.agg(*[F.count_if(cond).alias(name) for name, _, _, cond in checks])
+        entries = [(name, test, col) for name, test, col, _ in checks]
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(col).alias("column_name"), F.lit(test).alias("test"),
+                 F.col(f"`{name}`").cast("bigint").alias("failures"))
+        for name, test, col in entries]))
+    return counts.select(stacked.alias("s")).select(
+        F.lit(model).alias("model"), "s.column_name", "s.test", "s.failures")
+
+
 def unique_test(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
     """dbt-style unique: number of key values that occur more than once."""
     src = df.filter(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ledgerlake.constants import RISK_TIER_DEFAULT, RISK_TIERS, VALID_CURRENCIES, \
     VALID_STATUSES, VALID_TRANSACTION_TYPES, ACTION_IMMEDIATE, ACTION_MONITOR, ACTION_NONE
 from ledgerlake.operators.constraints import (
-    _one_pass_tests, relationships_test, union_all, unique_test, with_status,
+    _one_pass_tests, model_tests, relationships_test, union_all, with_status,
 )
 from ledgerlake.plans.marts import SUMMARY_KEYS
 
@@ -34,24 +34,25 @@ def accepted_values_tests(stg_txn: DataFrame, stg_fraud: DataFrame) -> DataFrame
 
 def data_tests_report(stg_txn: DataFrame, stg_fraud: DataFrame, enriched: DataFrame,
                       summary: DataFrame, fraud_mart: DataFrame) -> DataFrame:
+    """One pass per model plus one anti-join for the relationship test. Pass materialised
+    models (tables, or checkpointed DataFrames) so each model is read, not recomputed."""
     tests = [
-        _one_pass_tests(stg_txn, "stg_transactions",
-                        ["transaction_id", "account_id", "amount_usd", "transaction_at"], {
-                            "transaction_type": VALID_TRANSACTION_TYPES,
-                            "transaction_status": VALID_STATUSES,
-                            "currency_code": VALID_CURRENCIES,
-                        }),
-        _one_pass_tests(stg_fraud, "stg_fraud_signals", ["transaction_id", "fraud_score"],
-                        {"risk_tier": TIERS}),
+        model_tests(stg_txn, "stg_transactions",
+                    ["transaction_id", "account_id", "amount_usd", "transaction_at"], {
+                        "transaction_type": VALID_TRANSACTION_TYPES,
+                        "transaction_status": VALID_STATUSES,
+                        "currency_code": VALID_CURRENCIES,
+                    }),
+        model_tests(stg_fraud, "stg_fraud_signals", ["transaction_id", "fraud_score"],
+                    {"risk_tier": TIERS}),
         relationships_test(stg_fraud, stg_txn, "stg_fraud_signals", "transaction_id"),
-        _one_pass_tests(enriched, "int_transactions_enriched", ["fraud_score", "risk_tier"], {}),
-        unique_test(enriched, "int_transactions_enriched", ["transaction_id"]),
-        _one_pass_tests(summary, "mart_transaction_summary", ["transaction_count"], {}),
-        unique_test(summary, "mart_transaction_summary", SUMMARY_KEYS),
-        _one_pass_tests(fraud_mart, "mart_fraud_detection", ["transaction_id"], {
+        model_tests(enriched, "int_transactions_enriched", ["fraud_score", "risk_tier"],
+                    unique=["transaction_id"]),
+        model_tests(summary, "mart_transaction_summary", ["transaction_count"],
+                    unique=SUMMARY_KEYS),
+        model_tests(fraud_mart, "mart_fraud_detection", ["transaction_id"], {
             "risk_priority": [1, 2, 3, 4, 5],
             "recommended_action": [ACTION_IMMEDIATE, ACTION_MONITOR, ACTION_NONE],
-        }),
-        unique_test(fraud_mart, "mart_fraud_detection", ["transaction_id"]),
+        }, unique=["transaction_id"]),
     ]
     return with_status(union_all(tests), WARN_ON)
