@@ -29,6 +29,9 @@ class Params:
     # partitions; at most max_hot_keys such keys are broadcast as the hot-key list.
     hot_key_rows: int | None = 1_000_000
     max_hot_keys: int = 1000
+    # Incremental-refresh scan bounds (None = exact, scan everything processed so far).
+    late_score_days: int | None = None        # a score's transaction is at most this old
+    score_skew_days: int | None = None        # a signal is scored at most this long before its txn
 
 
 DEFAULT = Params()

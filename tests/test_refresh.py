@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from ledgerlake.plans.compare import comparable
@@ -32,6 +34,22 @@ def test_incremental_equals_full(spark, scratch):
         assert _rows(spark, full[name]) == _rows(spark, inc[name]), name
 
 
+def test_bounded_incremental_equals_full_and_prunes(spark, scratch):
+    from ledgerlake.params import Params
+    raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
+    params = Params(late_score_days=2, score_skew_days=1)
+    full_refresh(spark, raw_t, raw_f, f"{scratch}/full")
+    for b in range(3):
+        incremental_refresh(spark, _batch(raw_t, b), _batch(raw_f, b, 1), f"{scratch}/inc",
+                            params)
+    full, inc = table_paths(f"{scratch}/full"), table_paths(f"{scratch}/inc")
+    for name in ["mart_transaction_summary", "mart_fraud_detection"]:
+        assert _rows(spark, full[name]) == _rows(spark, inc[name]), name
+    sig_dates = {p.split("=")[1] for p in os.listdir(inc["stg_fraud_signals"])
+                 if p.startswith("score_date=")}
+    assert sig_dates and all(d.startswith("2024-01-0") for d in sig_dates)
+
+
 def test_run_pipeline_lands_and_audits(spark, scratch):
     raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
     audit = run_pipeline(spark, raw_t, raw_f, scratch, "2024-01-03").collect()[0]
