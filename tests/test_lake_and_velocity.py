@@ -84,3 +84,24 @@ def test_schema_drift_reports_missing_extra_and_bad_values(spark):
     assert rows["surprise"]["issue"] == "extra"
     assert rows["amount"]["issue"] == "type_changed" and rows["amount"]["bad_values"] == 1
     assert rows["timestamp"]["issue"] == "ok" and rows["timestamp"]["bad_values"] == 0
+
+
+def test_rolling_velocity_random_against_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(2025, 3, 1, 0, 0)
+    pts = []
+    for i in range(400):
+        acc = rnd.choice(["A", "B", "C", "HOT", "HOT", "HOT"])
+        secs = rnd.choice([0, 3600, 7200, 900, 1800]) if i % 10 == 0 else rnd.randrange(0, 4 * 3600)
+        pts.append((f"x{i}", acc, base + dt.timedelta(seconds=secs), round(rnd.uniform(1, 500), 2)))
+    pts += [(f"dup{i}", "HOT", base + dt.timedelta(seconds=5400), 10.0) for i in range(30)]
+    rows = [txn(tid, account_id=a, amount=amt, timestamp=t.isoformat()) for tid, a, t, amt in pts]
+    stg = stg_transactions(raw_txn_df(spark, rows).repartition(4))
+    for sub in (1, 4, 60):
+        got = {r["transaction_id"]: (r["txn_count_rolling_1h"], r["total_amount_rolling_1h"])
+               for r in rolling_velocity_1h(stg, sub_buckets=sub, hot_rows=5).collect()}
+        for tid, acc, t, _ in pts:
+            win = [amt for (_, a2, t2, amt) in pts if a2 == acc and t - dt.timedelta(hours=1) <= t2 <= t]
+            assert got[tid][0] == len(win), (sub, tid)
+            assert abs(float(got[tid][1]) - sum(win)) < 1e-6, (sub, tid)
