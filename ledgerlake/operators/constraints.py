@@ -56,27 +56,6 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 # -- data tests over models (not_null / unique / accepted_values / relationships) ----------------
 
-def _one_pass_tests(df: DataFrame, model: str, not_null: list[str],
-                    accepted: dict[str, list]) -> DataFrame:
-    """All not_null and accepted_values tests of one model in a single aggregate.
-    accepted_values ignores NULLs (NULL is the not_null test's business)."""
-    aggs, names = [], []
-    for c in not_null:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"nn:{c}"))
-        names.append(("nn", c))
-    for c, values in accepted.items():
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*values)).alias(f"av:{c}"))
-        names.append(("av", c))
-    counts = df.agg(*aggs)
-    test_name = {"nn": "not_null", "av": "accepted_values"}
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(test_name[k]).alias("test"),
-                 F.col(f"`{k}:{c}`").cast("bigint").alias("failures"))
-        for k, c in names]))
-    return counts.select(stacked.alias("s")).select(
-        F.lit(model).alias("model"), "s.column_name", "s.test", "s.failures")
-
-
 def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
                 accepted: dict | None = None, unique: list[str] | None = None) -> DataFrame:
     """Every not_null / accepted_values / unique test of one model in one two-phase pass.
@@ -114,15 +93,6 @@ def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
         F.lit(model).alias("model"), "s.column_name", "s.test", "s.failures")
 
 
-def unique_test(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
-    """dbt-style unique: number of key values that occur more than once."""
-    src = df.filter(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df
-    dup = pk_violations(src, cols)
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit("+".join(cols)).alias("column_name"),
-        F.lit("unique").alias("test"), "failures")
-
-
 def relationships_test(child: DataFrame, parent: DataFrame, model: str, col: str,
                        parent_col: str | None = None) -> DataFrame:
     """dbt-style relationships: child rows whose non-NULL key has no parent row."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ledgerlake.constants import RISK_TIER_DEFAULT, RISK_TIERS, VALID_CURRENCIES, \
     VALID_STATUSES, VALID_TRANSACTION_TYPES, ACTION_IMMEDIATE, ACTION_MONITOR, ACTION_NONE
 from ledgerlake.operators.constraints import (
-    _one_pass_tests, model_tests, relationships_test, union_all, with_status,
+    model_tests, relationships_test, union_all, with_status,
 )
 from ledgerlake.plans.marts import SUMMARY_KEYS
 
@@ -23,12 +23,12 @@ WARN_ON = (("stg_transactions", "currency_code", "accepted_values"),
 
 def accepted_values_tests(stg_txn: DataFrame, stg_fraud: DataFrame) -> DataFrame:
     return union_all([
-        _one_pass_tests(stg_txn, "stg_transactions", [], {
+        model_tests(stg_txn, "stg_transactions", [], {
             "transaction_type": VALID_TRANSACTION_TYPES,
             "transaction_status": VALID_STATUSES,
             "currency_code": VALID_CURRENCIES,
         }),
-        _one_pass_tests(stg_fraud, "stg_fraud_signals", [], {"risk_tier": TIERS}),
+        model_tests(stg_fraud, "stg_fraud_signals", [], {"risk_tier": TIERS}),
     ])
 
 

@@ -27,8 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+        except Exception:  # e.g. a client session without the RDD API
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df
 
