@@ -107,6 +107,11 @@ def q_valid_rows(spark, sf_dir):
     return comparable(valid_rows(flag_rows(_raw_txn(spark, sf_dir))))
 
 
+def q_validate_row_reasons(spark, sf_dir):
+    from ledgerlake.operators.validate import row_reasons
+    return comparable(row_reasons(flag_rows(_raw_txn(spark, sf_dir))))
+
+
 def q_dead_letter(spark, sf_dir):
     return comparable(dead_letter(flag_rows(_raw_txn(spark, sf_dir)),
                                   F.lit(RUN_DATE).cast("date")))
@@ -258,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_transaction_summary": q_mart_transaction_summary,
         "mart_fraud_detection": q_mart_fraud_detection,
         "validate_rule_counts": q_validate_rule_counts,
+        "validate_row_reasons": q_validate_row_reasons,
         "valid_rows": q_valid_rows,
         "dead_letter": q_dead_letter,
         "ingest_summary": q_ingest_summary,

@@ -320,6 +320,23 @@ SELECT transaction_id, account_id, merchant_id, {dbl('amount_usd')}, currency_co
 FROM fraud_mart
 ORDER BY risk_priority ASC, fraud_score DESC, transaction_id ASC""")
     q["validate_rule_counts"] = with_ctes(["vresult"], "SELECT * FROM vresult")
+    q["validate_row_reasons"] = with_ctes(["flagged"], f"""
+SELECT {RAW_COLS}, is_invalid,
+  concat_ws('|',
+    CASE WHEN null_transaction_id THEN 'null_transaction_id' END,
+    CASE WHEN null_account_id THEN 'null_account_id' END,
+    CASE WHEN null_amount THEN 'null_amount' END,
+    CASE WHEN null_currency THEN 'null_currency' END,
+    CASE WHEN null_timestamp THEN 'null_timestamp' END,
+    CASE WHEN duplicate_transaction_id THEN 'duplicate_transaction_id' END,
+    CASE WHEN negative_amount THEN 'negative_amount' END,
+    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END) AS error_reasons,
+  concat_ws('|',
+    CASE WHEN zero_amount THEN 'zero_amount' END,
+    CASE WHEN amount_over_1m THEN 'amount_over_1m' END,
+    CASE WHEN unsupported_currency THEN 'unsupported_currency' END,
+    CASE WHEN unsupported_status THEN 'unsupported_status' END) AS warning_reasons
+FROM flagged""")
     q["valid_rows"] = with_ctes(["flagged"], f"SELECT {RAW_COLS} FROM flagged WHERE NOT is_invalid")
     q["dead_letter"] = with_ctes(["flagged"], f"""
 SELECT {RAW_COLS},
