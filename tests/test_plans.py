@@ -56,3 +56,24 @@ def test_partition_pruning_on_lake_reads(spark, scratch):
     pf = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)
     assert pf and "year" in pf.group(1) and "month" in pf.group(1)
     assert one.count() == 1
+
+
+def test_hot_date_written_by_several_tasks(spark, scratch):
+    from pyspark.sql import functions as F
+    from ledgerlake.operators.evolve import layout_for_write
+    df = spark.range(3000).select(
+        F.lit("2025-01-01").cast("date").alias("transaction_date"),
+        (F.col("id") % 5).cast("string").alias("region"),
+        F.concat(F.lit("A"), F.col("id").cast("string")).alias("account_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("pad"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        layout_for_write(df).write.partitionBy("transaction_date").parquet(f"{scratch}/t")
+    finally:
+        spark.conf.set(key, old)
+    import os
+    files = [f for f in os.listdir(f"{scratch}/t/transaction_date=2025-01-01")
+             if f.endswith(".parquet")]
+    assert len(files) > 1
