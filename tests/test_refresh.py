@@ -54,6 +54,9 @@ def test_run_pipeline_lands_and_audits(spark, scratch):
     raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
     audit = run_pipeline(spark, raw_t, raw_f, scratch, "2024-01-03").collect()[0]
     assert audit["status"] == "success"
+    assert audit["fraud_flagged"] == raw_f.filter("is_flagged").count()
+    assert audit["tests_passed"] + audit["tests_failed"] + audit["tests_warned"] == 20
+    assert audit["tests_failed"] >= 1      # duplicated ids make enriched.transaction_id non-unique
     assert audit["rows_ingested"] == 1005 - 65 and audit["rows_failed"] == 65
     paths = table_paths(scratch)
     runs = spark.read.parquet(paths["pipeline_runs"]).count()
@@ -64,3 +67,21 @@ def test_run_pipeline_lands_and_audits(spark, scratch):
     dl = spark.read.parquet(f"{scratch}/raw/transactions_dead_letter")
     assert dl.count() == 65
     assert spark.read.parquet(paths["mart_transaction_summary"]).count() > 0
+
+
+def test_catalog_tables_over_written_models(spark, scratch):
+    from ledgerlake.plans.catalog import register_models, register_staging_views
+    from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
+    raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
+    full_refresh(spark, raw_t, raw_f, scratch)
+    names = register_models(spark, scratch)
+    assert "marts.mart_fraud_detection" in names
+    register_staging_views(stg_transactions(raw_t), stg_fraud_signals(raw_f))
+    n_stg = spark.sql("SELECT COUNT(*) FROM stg_transactions").collect()[0][0]
+    n_enr = spark.sql("SELECT SUM(transaction_count) FROM marts.mart_transaction_summary") \
+        .collect()[0][0]
+    assert n_stg == 987 and n_enr == 989
+    top = spark.sql("SELECT risk_priority FROM marts.mart_fraud_detection "
+                    "WHERE transaction_date = DATE '2024-01-02' "
+                    "ORDER BY risk_priority, fraud_score DESC LIMIT 1").collect()
+    assert top and top[0][0] == 1
