@@ -9,11 +9,11 @@ current timestamps dropped) so they line up with the DuckDB twins in ``ledgerlak
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.oracle import oracle_sql as _oracle_sql
 from ledgerlake.constants import TRANSACTIONS_LENGTHS
 from ledgerlake.functions.risk import risk_tier, signal_columns
 from ledgerlake.operators.constraints import (
@@ -21,19 +21,24 @@ from ledgerlake.operators.constraints import (
 )
 from ledgerlake.operators.evolve import warehouse_transactions
 from ledgerlake.operators.validate import (
-    anomaly_rows, dead_letter, flag_rows, fraud_ingest_summary, ingest_summary,
-    validation_result, valid_rows,
+    anomaly_rows, dead_letter, flag_rows, fraud_ingest_summary, ingest_summary, row_reasons,
+    schema_drift, validation_result, valid_rows,
 )
 from ledgerlake.operators.velocity import hourly_velocity, rolling_velocity_1h
-from ledgerlake.plans.data_tests import accepted_values_tests, data_tests_report
-from ledgerlake.sources.lake import zone_path
+from ledgerlake.oracle import oracle_sql as _oracle_sql
 from ledgerlake.plans.compare import comparable
+from ledgerlake.plans.data_tests import accepted_values_tests, data_tests_report
 from ledgerlake.plans.enriched import latest_signal, transactions_enriched
 from ledgerlake.plans.marts import (
     mart_compliance, mart_fraud_detection, mart_transaction_summary,
 )
+from ledgerlake.plans.refresh import incremental_refresh, table_paths
 from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
+from ledgerlake.schemas import RAW_TRANSACTIONS
+from ledgerlake.session import ensure_checkpoint_dir, shared_path
 from ledgerlake.sources.fixtures import raw_inputs, read_table
+from ledgerlake.sources.lake import zone_path
+from ledgerlake.streaming.velocity import read_velocity_log, run_velocity_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_DATE = "2024-01-03"  # partition (run) date used by the ingest-style queries
@@ -108,7 +113,6 @@ def q_valid_rows(spark, sf_dir):
 
 
 def q_validate_row_reasons(spark, sf_dir):
-    from ledgerlake.operators.validate import row_reasons
     return comparable(row_reasons(flag_rows(_raw_txn(spark, sf_dir))))
 
 
@@ -129,8 +133,6 @@ def q_fraud_ingest_summary(spark, sf_dir):
 
 def q_schema_drift(spark, sf_dir):
     """The landed feed checked against the expected raw schema, value by value."""
-    from ledgerlake.operators.validate import schema_drift
-    from ledgerlake.schemas import RAW_TRANSACTIONS
     return comparable(schema_drift(_raw_txn(spark, sf_dir), RAW_TRANSACTIONS))
 
 
@@ -191,7 +193,6 @@ def q_data_tests_report(spark, sf_dir):
     """Data tests over the materialised models: staging and the enriched model are
     checkpointed once (reliable checkpoint in the session's shared folder) and every test
     and mart reads them instead of recomputing the DAG."""
-    from ledgerlake.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     t, f = (d.checkpoint() for d in _staged(spark, sf_dir))
     e = transactions_enriched(t, f).checkpoint()
@@ -207,11 +208,6 @@ def q_incremental_refresh(spark, sf_dir):
     """Three landed batches (transactions by ``id % 3``, their scores one batch later)
     folded in by the incremental refresh; the summary mart read back must equal the full
     refresh. Tables go to a fresh folder under the session's shared checkpoint dir."""
-    import uuid
-
-    from ledgerlake.plans.refresh import incremental_refresh, table_paths
-    from ledgerlake.session import shared_path
-
     raw_t, raw_f = _raw(spark, sf_dir)
     root = shared_path(spark, "ledgerlake-incremental", uuid.uuid4().hex)
     tid = F.col("transaction_id").cast("long")
@@ -237,11 +233,6 @@ def _land_by_day(spark, df: DataFrame, landing: str) -> None:
 def q_stream_velocity(spark, sf_dir):
     """Hourly velocity computed by a watermarked streaming aggregation over the landed
     transaction files (one micro-batch per file), read back from its update log."""
-    import uuid
-
-    from ledgerlake.session import shared_path
-    from ledgerlake.streaming.velocity import read_velocity_log, run_velocity_stream
-
     base = shared_path(spark, "ledgerlake-stream", uuid.uuid4().hex)
     _land_by_day(spark, _raw_txn(spark, sf_dir), f"{base}/landing")
     run_velocity_stream(spark, f"{base}/landing", f"{base}/log", f"{base}/checkpoint",

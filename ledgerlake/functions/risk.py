@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ledgerlake.constants import (
-    ACTION_IMMEDIATE, ACTION_MONITOR, ACTION_NONE, FRAUD_REASON_RULES, RISK_PRIORITY,
+    ACTION_IMMEDIATE, ACTION_MONITOR, ACTION_NONE, FRAUD_MODEL_VERSION, FRAUD_REASON_RULES,
+    RISK_PRIORITY,
     RISK_PRIORITY_DEFAULT, RISK_TIER_DEFAULT, RISK_TIERS,
 )
 from ledgerlake.params import DEFAULT, Params
@@ -64,7 +65,6 @@ def reasons_text(reasons, sep: str = "|") -> Column:
 def signal_columns(score, params: Params = DEFAULT) -> list[Column]:
     """A scorer's output record from an unrounded score: the stored (rounded) score, the
     flag and the reason codes (both decided on the unrounded value), the model version."""
-    from ledgerlake.constants import FRAUD_MODEL_VERSION
     s = _c(score)
     return [
         round_score(s).alias("fraud_score"),
