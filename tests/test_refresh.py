@@ -85,3 +85,13 @@ def test_catalog_tables_over_written_models(spark, scratch):
                     "WHERE transaction_date = DATE '2024-01-02' "
                     "ORDER BY risk_priority, fraud_score DESC LIMIT 1").collect()
     assert top and top[0][0] == 1
+
+
+def test_full_refresh_replaces_stale_dates(spark, scratch):
+    raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
+    full_refresh(spark, raw_t, raw_f, scratch)
+    only_day1 = raw_t.filter(F.substring("timestamp", 1, 10) == "2024-01-01")
+    full_refresh(spark, only_day1, raw_f, scratch)
+    dates = {r[0] for r in spark.read.parquet(table_paths(scratch)["mart_transaction_summary"])
+             .select(F.col("transaction_date").cast("string")).distinct().collect()}
+    assert dates == {"2024-01-01"}
