@@ -8,7 +8,7 @@ a generator for the duplicated and re-scored subsets); it grows linearly with ``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake.constants import FRAUD_MODEL_VERSION
 from ledgerlake.functions.risk import fraud_reasons
@@ -21,9 +21,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
 
     A table stored as one Parquet row group scans as one task, and with broadcast joins the
     whole pipeline up to the first shuffle would then run in that task. When the scan has
-    fewer splits than the cluster has cores, rows are spread by a hash of their values first
-    (deterministic, so a retried task sees the same rows). Inputs made of many files already
-    have enough splits and are left alone.
+    fewer splits than the cluster has cores, rows are spread round-robin first (deterministic,
+    so a retried task sees the same rows). Inputs made of many files already have enough
+    splits and are left alone.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
@@ -33,10 +33,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
         except Exception:  # e.g. a client session without the RDD API
             return df
         if splits < cores:
-            # hash of the row: deterministic for retries without the sort a round-robin
-            # repartition performs first
-            keys = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-            df = df.repartition(cores, *keys) if keys else df.repartition(cores)
+            # Round-robin references no column, so column pruning still reaches the scan
+            # (a hash on the row's columns would force every column to be read); Spark sorts
+            # before a round-robin shuffle, so a retried task produces the same split.
+            df = df.repartition(cores)
     return df
 
 
