@@ -46,6 +46,47 @@ def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "
     return big_s.join(lookup_s, on=keys + ["_salt"], how=how).drop("_salt")
 
 
+def fanout_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int | None = None,
+                max_hot_keys: int = 1000, sample_fraction: float = 0.01,
+                salt_cols: list[str] | None = None, seed: int = 17) -> DataFrame:
+    """LEFT JOIN where the *right* side may hold very many rows for one key (e.g. a
+    transaction scored over and over), so the hot key cannot be split on the preserved side.
+
+    Keys whose right-side row count looks larger than ``hot_rows`` are found from a seeded
+    Bernoulli sample of the right side's key column (the sample only chooses which keys to
+    split; every row is joined). For those keys (at most ``max_hot_keys``, broadcast) the
+    right rows take a salt from a hash of their columns and input split, and each left row
+    is replicated once per salt. After the join, replicas of a hot key that found no right
+    row in their salt are dropped: a hot key has right rows, so each left row keeps exactly
+    its matches - the same rows as the plain LEFT JOIN.
+    """
+    if hot_rows is None:
+        return left.join(right, on=key, how="left")
+    threshold = max(1, int(hot_rows * sample_fraction))
+    sampled = (right.select(key).filter(F.col(key).isNotNull())
+               .sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+               .groupBy(key).agg(F.count(F.lit(1)).alias("_sn"))
+               .filter(F.col("_sn") > threshold))
+    salts = F.least(F.ceil(F.col("_sn") / F.lit(threshold)), F.lit(4096)).cast("int")
+    hot = F.broadcast(sampled.orderBy(F.col("_sn").desc()).limit(max_hot_keys)
+                      .select(key, salts.alias("_salts")))
+    left_s = (left.join(hot, on=key, how="left")
+              .withColumn("_hot", F.col("_salts").isNotNull())
+              .withColumn("_salt", F.explode(
+                  F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
+                   .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
+              .drop("_salts"))
+    salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or right.columns)],
+                          F.spark_partition_id())
+    right_s = (right.join(hot, on=key, how="left")
+               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                           .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")))
+               .drop("_salts").withColumn("_matched", F.lit(True)))
+    joined = left_s.join(right_s, on=[key, "_salt"], how="left")
+    return (joined.filter(~F.col("_hot") | F.col("_matched").isNotNull())
+            .drop("_salt", "_hot", "_matched"))
+
+
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """One row per ``key``: the row with the largest ``order_cols`` (then the largest
     remaining columns, so ties resolve deterministically).

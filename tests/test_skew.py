@@ -86,3 +86,30 @@ def test_duplicate_copies_split_and_flagged(spark):
                  .select(F.spark_partition_id().alias("p"), "duplicate_transaction_id")
                  .distinct().count())
         assert parts >= 4
+
+
+def test_fanout_join_splits_hot_right_key(spark):
+    from ledgerlake.operators.joins import fanout_join
+    left = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3), ("none", 4), (None, 5)],
+                                 "k string, lv int")
+    right = spark.createDataFrame([("hot", i) for i in range(600)] + [("cold", 1), ("cold", 2)]
+                                  + [("orphan", 9)], "k string, rv int").repartition(8)
+    with no_broadcast(spark):
+        salted = fanout_join(left, right, "k", hot_rows=50, sample_fraction=0.5)
+        plain = left.join(right, "k", "left")
+        assert _sorted(salted) == _sorted(plain)
+        assert salted.count() == 1200 + 2 + 1 + 1
+        parts = (salted.filter(F.col("k") == "hot")
+                 .select(F.spark_partition_id().alias("p"), "rv").select("p").distinct().count())
+        assert parts >= 4
+
+
+def test_enriched_with_hot_scored_transaction(spark):
+    rows = [txn("hot", account_id="H"), txn("c1"), txn("c2", account_id="Z")]
+    sigs = [sig("hot", round(0.001 * i, 4)) for i in range(500)] + [sig("c1", 0.9)]
+    with no_broadcast(spark):
+        t = stg_transactions(raw_txn_df(spark, rows))
+        f = stg_fraud_signals(raw_sig_df(spark, sigs).repartition(8))
+        a = transactions_enriched(t, f, Params(hot_key_rows=20))
+        b = transactions_enriched(t, f, Params(hot_key_rows=None))
+        assert _sorted(a) == _sorted(b) and a.count() == 502
