@@ -235,9 +235,9 @@ def q_stream_velocity(spark, sf_dir):
     transaction files (one micro-batch per file), read back from its update log."""
     base = shared_path(spark, "ledgerlake-stream", uuid.uuid4().hex)
     _land_by_day(spark, _raw_txn(spark, sf_dir), f"{base}/landing")
-    run_velocity_stream(spark, f"{base}/landing", f"{base}/log", f"{base}/checkpoint",
-                        watermark="2 hours", max_files_per_trigger=1)
-    return comparable(read_velocity_log(spark, f"{base}/log"))
+    sid = run_velocity_stream(spark, f"{base}/landing", f"{base}/log", f"{base}/checkpoint",
+                              watermark="2 hours", max_files_per_trigger=1)
+    return comparable(read_velocity_log(spark, f"{base}/log", sid))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlake.params import DEFAULT, Params
 from ledgerlake.plans.staging import stg_transactions
 from ledgerlake.schemas import RAW_TRANSACTIONS
+from ledgerlake.streaming.microbatch import stream_identity
 
 KEYS = ["account_id", "transaction_date", "transaction_hour"]
 
@@ -45,24 +46,38 @@ def velocity_stream(raw_stream: DataFrame, watermark: str = "2 hours",
 
 def run_velocity_stream(spark: SparkSession, landing: str, log_path: str, checkpoint: str,
                         watermark: str = "2 hours", max_files_per_trigger: int | None = None,
-                        dedup: bool = False, params: Params = DEFAULT) -> None:
+                        dedup: bool = False, params: Params = DEFAULT) -> str:
+    """Drain the landed files through the streaming aggregation; returns the stream's
+    persistent id. The log is partitioned by stream id and batch number: a restart from the
+    same checkpoint continues its stream, a new checkpoint starts a new one, and batch
+    numbers of different streams never overwrite each other."""
     reader = spark.readStream.schema(RAW_TRANSACTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = velocity_stream(reader.parquet(landing), watermark, dedup, params)
 
     def write_updates(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(log_path))
+        sid = stream_identity(spark, checkpoint)
+        (batch.withColumns({"_stream": F.lit(sid), "_batch": F.lit(batch_id)})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_stream", "_batch").parquet(log_path))
 
     q = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(write_updates).trigger(availableNow=True).start())
     q.awaitTermination()
+    return str(q.id)
 
 
-def read_velocity_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Current velocity per key: the latest batch's row for each key."""
+def read_velocity_log(spark: SparkSession, log_path: str, stream_id: str | None = None) -> DataFrame:
+    """Current velocity per key for one stream: the latest batch's row for each key.
+    Without ``stream_id`` the log must hold a single stream."""
     log = spark.read.parquet(log_path)
+    if stream_id is None:
+        ids = [r[0] for r in log.select("_stream").distinct().limit(2).collect()]
+        if len(ids) > 1:
+            raise ValueError("velocity log holds several streams; pass stream_id")
+    else:
+        log = log.filter(F.col("_stream") == stream_id)
     vals = ["txn_count_1h", "total_amount_1h", "max_amount_1h"]
     best = log.groupBy(*KEYS).agg(F.max(F.struct("_batch", *vals)).alias("b"))
     return best.select(*KEYS, *[F.col(f"b.{c}").alias(c) for c in vals])
