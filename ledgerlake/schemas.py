@@ -103,10 +103,20 @@ WAREHOUSE = {
     },
 }
 
-# Defaults that an added NOT NULL column takes for rows written before it existed.
+# Declared column defaults per warehouse table (rows written before a column existed, or
+# inserted without it, read these). created_at / updated_at default to now() where present.
 COLUMN_DEFAULTS = {
-    "is_large_transaction": False, "is_fraud_flagged": False, "requires_review": False,
-    "aml_flag": False, "is_flagged": False, "status": "pending",
+    "transactions": {"is_large_transaction": False, "is_fraud_flagged": False,
+                     "requires_review": False, "aml_flag": False},
+    "fraud_signals": {"is_flagged": False},
+    "pipeline_runs": {},
+    "compliance_reports": {"status": "pending"},
+}
+NOW_DEFAULTS = {
+    "transactions": {"created_at", "updated_at"},
+    "fraud_signals": {"created_at"},
+    "pipeline_runs": set(),
+    "compliance_reports": {"created_at"},
 }
 
 PRIMARY_KEYS = {
