@@ -150,6 +150,11 @@ SELECT r.*,
   COALESCE(amount < 0 AND NOT isnan(amount), FALSE) AS negative_amount,
   COALESCE(transaction_type NOT IN ('debit', 'credit', 'transfer', 'withdrawal', 'deposit'), TRUE)
     AS invalid_transaction_type,
+  ("timestamp" IS NOT NULL AND TRY_CAST("timestamp" AS TIMESTAMP) IS NULL) AS unparseable_timestamp,
+  (ingested_at IS NOT NULL AND TRY_CAST(ingested_at AS TIMESTAMP) IS NULL)
+    AS unparseable_ingested_at,
+  (amount IS NOT NULL AND NOT isnan(amount) AND TRY_CAST(amount AS DECIMAL(18,2)) IS NULL)
+    AS amount_overflow,
   COALESCE(amount = 0, FALSE) AS zero_amount,
   COALESCE(amount > 1000000 AND NOT isnan(amount), FALSE) AS amount_over_1m,
   COALESCE(currency NOT IN ('USD', 'EUR', 'GBP', 'JPY', 'CAD', 'AUD', 'CHF'), TRUE)
@@ -160,7 +165,8 @@ FROM raw_transactions r"""
 MODEL_CTES["flagged"] = """
 SELECT *, (null_transaction_id OR null_account_id OR null_amount OR null_currency
            OR null_timestamp OR duplicate_transaction_id OR negative_amount
-           OR invalid_transaction_type) AS is_invalid
+           OR invalid_transaction_type OR unparseable_timestamp OR unparseable_ingested_at
+           OR amount_overflow) AS is_invalid
 FROM flags"""
 MODEL_CTES["vcounts"] = """
 SELECT COUNT(*) AS total_rows,
@@ -173,6 +179,9 @@ SELECT COUNT(*) AS total_rows,
   COUNT(*) FILTER (WHERE duplicate_transaction_id) AS duplicate_transaction_id,
   COUNT(*) FILTER (WHERE negative_amount) AS negative_amount,
   COUNT(*) FILTER (WHERE invalid_transaction_type) AS invalid_transaction_type,
+  COUNT(*) FILTER (WHERE unparseable_timestamp) AS unparseable_timestamp,
+  COUNT(*) FILTER (WHERE unparseable_ingested_at) AS unparseable_ingested_at,
+  COUNT(*) FILTER (WHERE amount_overflow) AS amount_overflow,
   COUNT(*) FILTER (WHERE zero_amount) AS zero_amount,
   COUNT(*) FILTER (WHERE amount_over_1m) AS amount_over_1m,
   COUNT(*) FILTER (WHERE unsupported_currency) AS unsupported_currency,
@@ -191,7 +200,10 @@ SELECT error_count = 0 AS passed, total_rows, total_rows - error_count AS valid_
     CASE WHEN null_timestamp > 0 THEN 'Column ''timestamp'' has ' || null_timestamp || ' null values' END,
     CASE WHEN duplicate_transaction_id > 0 THEN 'Found ' || duplicate_transaction_id || ' duplicate transaction_ids' END,
     CASE WHEN negative_amount > 0 THEN negative_amount || ' transactions have negative amounts' END,
-    CASE WHEN invalid_transaction_type > 0 THEN invalid_transaction_type || ' rows have invalid transaction_type' END
+    CASE WHEN invalid_transaction_type > 0 THEN invalid_transaction_type || ' rows have invalid transaction_type' END,
+    CASE WHEN unparseable_timestamp > 0 THEN unparseable_timestamp || ' rows have unparseable timestamps' END,
+    CASE WHEN unparseable_ingested_at > 0 THEN unparseable_ingested_at || ' rows have unparseable ingested_at values' END,
+    CASE WHEN amount_overflow > 0 THEN amount_overflow || ' rows have amounts beyond DECIMAL(18,2)' END
   ) AS errors,
   concat_ws('|',
     CASE WHEN zero_amount > 0 THEN zero_amount || ' transactions have zero amount' END,
@@ -202,6 +214,8 @@ SELECT error_count = 0 AS passed, total_rows, total_rows - error_count AS valid_
   null_amount AS n_null_amount, null_currency AS n_null_currency,
   null_timestamp AS n_null_timestamp, duplicate_transaction_id AS n_duplicate_transaction_id,
   negative_amount AS n_negative_amount, invalid_transaction_type AS n_invalid_transaction_type,
+  unparseable_timestamp AS n_unparseable_timestamp,
+  unparseable_ingested_at AS n_unparseable_ingested_at, amount_overflow AS n_amount_overflow,
   zero_amount AS n_zero_amount, amount_over_1m AS n_amount_over_1m,
   unsupported_currency AS n_unsupported_currency, unsupported_status AS n_unsupported_status
 FROM vcounts"""
@@ -330,7 +344,10 @@ SELECT {RAW_COLS}, is_invalid,
     CASE WHEN null_timestamp THEN 'null_timestamp' END,
     CASE WHEN duplicate_transaction_id THEN 'duplicate_transaction_id' END,
     CASE WHEN negative_amount THEN 'negative_amount' END,
-    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END) AS error_reasons,
+    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END,
+    CASE WHEN unparseable_timestamp THEN 'unparseable_timestamp' END,
+    CASE WHEN unparseable_ingested_at THEN 'unparseable_ingested_at' END,
+    CASE WHEN amount_overflow THEN 'amount_overflow' END) AS error_reasons,
   concat_ws('|',
     CASE WHEN zero_amount THEN 'zero_amount' END,
     CASE WHEN amount_over_1m THEN 'amount_over_1m' END,
@@ -348,7 +365,10 @@ SELECT {RAW_COLS},
     CASE WHEN null_timestamp THEN 'null_timestamp' END,
     CASE WHEN duplicate_transaction_id THEN 'duplicate_transaction_id' END,
     CASE WHEN negative_amount THEN 'negative_amount' END,
-    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END) AS reject_reasons,
+    CASE WHEN invalid_transaction_type THEN 'invalid_transaction_type' END,
+    CASE WHEN unparseable_timestamp THEN 'unparseable_timestamp' END,
+    CASE WHEN unparseable_ingested_at THEN 'unparseable_ingested_at' END,
+    CASE WHEN amount_overflow THEN 'amount_overflow' END) AS reject_reasons,
   DATE '{RUN_DATE}' AS batch_date
 FROM flagged WHERE is_invalid""")
     q["ingest_summary"] = with_ctes(["vresult"], f"""
