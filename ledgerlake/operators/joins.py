@@ -34,15 +34,14 @@ def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "
     hot = F.broadcast(hot)  # at most max_hot_keys rows
     salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or big.columns)],
                           F.spark_partition_id())
-    big_s = (big.join(hot, on=keys, how="left")
-             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                         .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")))
-             .drop("_salts"))
-    lookup_s = (lookup.join(hot, on=keys, how="left")
-                .withColumn("_salt", F.explode(
-                    F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
-                     .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
-                .drop("_salts"))
+    big_s = big.join(hot, on=keys, how="left").select(
+        *keys, *[c for c in big.columns if c not in keys],
+        F.when(F.col("_salts").isNull(), F.lit(0))
+         .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")).alias("_salt"))
+    lookup_s = lookup.join(hot, on=keys, how="left").select(
+        *keys, *[c for c in lookup.columns if c not in keys],
+        F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
+                  .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))).alias("_salt"))
     return big_s.join(lookup_s, on=keys + ["_salt"], how=how).drop("_salt")
 
 
@@ -70,18 +69,18 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int | Non
     salts = F.least(F.ceil(F.col("_sn") / F.lit(threshold)), F.lit(4096)).cast("int")
     hot = F.broadcast(sampled.orderBy(F.col("_sn").desc()).limit(max_hot_keys)
                       .select(key, salts.alias("_salts")))
-    left_s = (left.join(hot, on=key, how="left")
-              .withColumn("_hot", F.col("_salts").isNotNull())
-              .withColumn("_salt", F.explode(
-                  F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
-                   .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
-              .drop("_salts"))
+    left_s = left.join(hot, on=key, how="left").select(
+        key, *[c for c in left.columns if c != key],
+        F.col("_salts").isNotNull().alias("_hot"),
+        F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
+                  .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))).alias("_salt"))
     salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or right.columns)],
                           F.spark_partition_id())
-    right_s = (right.join(hot, on=key, how="left")
-               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                           .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")))
-               .drop("_salts").withColumn("_matched", F.lit(True)))
+    right_s = right.join(hot, on=key, how="left").select(
+        key, *[c for c in right.columns if c != key],
+        F.when(F.col("_salts").isNull(), F.lit(0))
+         .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")).alias("_salt"),
+        F.lit(True).alias("_matched"))
     joined = left_s.join(right_s, on=[key, "_salt"], how="left")
     return (joined.filter(~F.col("_hot") | F.col("_matched").isNotNull())
             .drop("_salt", "_hot", "_matched"))
