@@ -95,3 +95,19 @@ def test_full_refresh_replaces_stale_dates(spark, scratch):
     dates = {r[0] for r in spark.read.parquet(table_paths(scratch)["mart_transaction_summary"])
              .select(F.col("transaction_date").cast("string")).distinct().collect()}
     assert dates == {"2024-01-01"}
+
+
+def test_cli_run_full_refresh_and_tests(spark, scratch, capsys):
+    import json
+    from ledgerlake.__main__ import main
+    raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
+    raw_t.write.parquet(f"{scratch}/in/t")
+    raw_f.write.parquet(f"{scratch}/in/f")
+    assert main(["run", "--root", f"{scratch}/lake", "--transactions", f"{scratch}/in/t",
+                 "--signals", f"{scratch}/in/f", "--date", "2024-01-03"]) == 0
+    row = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert row["status"] == "success" and row["rows_ingested"] == 940
+    assert main(["full-refresh", "--root", f"{scratch}/lake"]) == 0
+    assert main(["data-tests", "--root", f"{scratch}/lake"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[1:]]
+    assert len(lines) == 20 and {x["status"] for x in lines} <= {"pass", "fail", "warn"}
