@@ -63,7 +63,7 @@ def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
     With a unique key, rows are grouped by it (partial aggregation first, so a repeated key
     is combined map-side) carrying per-group counts of NULLs and rejected values; a global
     aggregate then sums those and counts the groups seen more than once. Without one it is
-    a single global aggregate. dbt semantics: accepted_values ignores NULLs; a single-column
+    a single global aggregate. Usual data-test semantics: accepted_values ignores NULLs; a single-column
     unique test ignores NULL keys.
     """
     accepted = accepted or {}
@@ -95,7 +95,7 @@ def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
 
 def relationships_test(child: DataFrame, parent: DataFrame, model: str, col: str,
                        parent_col: str | None = None) -> DataFrame:
-    """dbt-style relationships: child rows whose non-NULL key has no parent row."""
+    """Relationships test: child rows whose non-NULL key has no parent row."""
     o = orphans(child, parent, col, parent_col or col)
     return o.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(model).alias("model"), F.lit(col).alias("column_name"),
