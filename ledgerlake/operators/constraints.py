@@ -63,8 +63,8 @@ def model_tests(df: DataFrame, model: str, not_null: list[str] = (),
     With a unique key, rows are grouped by it (partial aggregation first, so a repeated key
     is combined map-side) carrying per-group counts of NULLs and rejected values; a global
     aggregate then sums those and counts the groups seen more than once. Without one it is
-    a single global aggregate. Usual data-test semantics: accepted_values ignores NULLs; a single-column
-    unique test ignores NULL keys.
+    a single global aggregate. Usual data-test semantics: accepted_values ignores NULLs; a
+    single-column unique test ignores NULL keys.
     """
     accepted = accepted or {}
     checks = [(f"nn:{c}", "not_null", c, F.col(c).isNull()) for c in not_null]
