@@ -105,3 +105,12 @@ def test_rolling_velocity_random_against_brute_force(spark):
             win = [amt for (_, a2, t2, amt) in pts if a2 == acc and t - dt.timedelta(hours=1) <= t2 <= t]
             assert got[tid][0] == len(win), (sub, tid)
             assert abs(float(got[tid][1]) - sum(win)) < 1e-6, (sub, tid)
+
+
+def test_fetch_window_default_last_15_minutes(spark):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [txn("old", timestamp=(now - dt.timedelta(minutes=30)).isoformat()),
+            txn("new", timestamp=(now - dt.timedelta(minutes=5)).isoformat()),
+            txn("future", timestamp=(now + dt.timedelta(minutes=30)).isoformat())]
+    got = fetch_window(raw_txn_df(spark, rows), "timestamp")
+    assert [r["transaction_id"] for r in got.collect()] == ["new"]
