@@ -9,6 +9,7 @@ current timestamps dropped) so they line up with the DuckDB twins in ``ledgerlak
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -245,8 +246,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_mart_transaction_summary(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, where their files are there."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("ledgerlake.llm") is not None:
+        from ledgerlake.llm.queries import ORACLE_SQL, QUERIES
+        found, sql = dict(QUERIES), dict(ORACLE_SQL)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return _training_data()[0] | {
         "stg_transactions": q_stg_transactions,
         "stg_fraud_signals": q_stg_fraud_signals,
         "velocity_hourly": q_velocity_hourly,
@@ -278,5 +293,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
+    sql = _oracle_sql() | _training_data()[1]
     return {k: v for k, v in sql.items() if k in queries()}
