@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from .exact_dedup import OP7_SQL, op7_exact_dedup
+from .licenses import OP4_SQL, op4_license_scan
+from .mixing import op1_mix_sources
+from .quality import op5_quality
 from .token_output import op9_token_output
 
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op4_license_scan": op4_license_scan,
+    "op5_quality": op5_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_token_output": op9_token_output,
 }
 
 ORACLE_SQL = {
+    "op4_license_scan": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
