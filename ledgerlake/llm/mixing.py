@@ -90,7 +90,7 @@ def sainte_lague(parties: DataFrame, key: list[str], tie: list[str], votes: str,
 
 def mix(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
         block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
-    """``sizes`` (a stored table of doc_id, source, size) with source_size, target and the
+    """``sizes`` (a stored table of doc_id, text_id, source, size) with source_size, target and the
     selection: ``whole`` copies, then the words [a, b) and [c, d) once more; ``taken`` words."""
     scratch = Scratch(sizes.sparkSession, "mix")
     sources = scratch.write(source_targets(sizes, weights, max_repeats), "sources")
@@ -98,7 +98,7 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
                                   F.col("rows") / SHARD_ROWS, F.lit(1.0)))
     d, s = sizes.alias("d"), sources.alias("s")
     dealt = d.join(s, F.col("d.source").eqNullSafe(F.col("s.source"))).select(
-        "d.doc_id", "d.source", "size", "source_size", "target", "rows",
+        "d.doc_id", "d.text_id", "d.source", "size", "source_size", "target", "rows",
         F.xxhash64(F.lit(seed), "d.doc_id").alias("_order"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "d.doc_id"), shards_of).alias("shard"))
     shards = dealt.groupBy("source", "shard").agg(
@@ -121,7 +121,7 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
     placed = d.join(q, F.col("d.source").eqNullSafe(F.col("q.source"))
                     & (F.col("d.shard") == F.col("q.shard"))) \
         .select("d.*", "shard_size", "blocks", "quota")
-    order = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "size")
+    order = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "text_id")
     end = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
     n = F.greatest(F.col("blocks"), F.lit(1))
     edge = lambda b: F.expr("shard_size * ({}) div greatest(blocks, 1)".format(b))
@@ -136,16 +136,39 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
     runs = runs.withColumn("a", cut(F.col("_a0"))).withColumn("b", cut(F.col("_a1"))) \
         .withColumn("c", F.lit(0).cast("long")).withColumn("d", cut(F.col("_b1")))
     taken = F.col("size") * F.col("whole") + F.col("b") - F.col("a") + F.col("d") - F.col("c")
-    return runs.select("doc_id", "source", "size", "source_size", "target", "whole",
+    return runs.select("doc_id", "text_id", "source", "size", "source_size", "target", "whole",
                        "a", "b", "c", "d", taken.alias("taken"))
 
 
 def stored_sizes(docs: DataFrame) -> DataFrame:
     sizes = columns(docs, "doc_id", "source", "text") \
-        .select("doc_id", "source", size_of(F.col("text")).alias("size"))
+        .select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_id"), "source",
+                size_of(F.col("text")).alias("size"))
     return Scratch(docs.sparkSession, "sizes").write(sizes, "sizes")
 
 
+def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The mix itself: the rows of ``docs`` as often as they are taken. The runs at the edges of
+    a selection give rows of the words taken; rows that repeat doc_id and text count once."""
+    chosen = mixed.filter("taken > 0").dropDuplicates(["doc_id", "text_id"]) \
+        .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_tid"), "size", "whole",
+                "a", "b", "c", "d")
+    words = F.regexp_extract_all(F.col("text"), F.lit(_WORD), F.lit(0))
+    full = lambda x, y: F.col(y) - F.col(x) == F.col("size")
+    some = lambda x, y: (F.col(y) > F.col(x)) & ~full(x, y)
+    cut = lambda x, y: F.when(some(x, y), F.array(F.concat_ws(
+        " ", F.slice(words, F.col(x).cast("int") + 1, (F.col(y) - F.col(x)).cast("int"))))) \
+        .otherwise(F.array().cast("array<string>"))
+    copies = F.col("whole") + full("a", "b").cast("long") + full("c", "d").cast("long")
+    texts = F.concat(F.array_repeat("text", copies.cast("int")), cut("a", "b"), cut("c", "d"))
+    rows = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_id"))
+                     & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_tid")))
+    rows = rows.withColumn("_one", F.explode(texts)).withColumn("text", F.col("_one"))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(stored_sizes(documents(spark, sf_dir))) \
         .select("doc_id", "size", "source_size", "target", "taken")

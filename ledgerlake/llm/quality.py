@@ -80,7 +80,7 @@ def score_quality(docs: DataFrame, trees: gbdt.Trees, carry: list[str]) -> DataF
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(trees.score(x))],
                                              [*carry, "score"])
     bounded_batches(docs.sparkSession)
-    rows = docs.select("text", *[F.col(f"`{c}`") for c in carry])
+    rows = docs.select(F.col("text").alias("_text"), *[F.col(f"`{c}`") for c in carry])
     schema = docs.select(*[F.col(f"`{c}`") for c in carry]).schema
     return rows.mapInArrow(score, schema.add("score", "double"))
 

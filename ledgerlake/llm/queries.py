@@ -6,12 +6,14 @@ from .decontaminate import op8_decontaminate
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .licenses import OP4_SQL, op4_license_scan
 from .mixing import op1_mix_sources
+from .near_dup import op3_ngram_join
 from .quality import op5_quality
 from .token_output import op9_token_output
 from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_ngram_join": op3_ngram_join,
     "op4_license_scan": op4_license_scan,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
