@@ -178,21 +178,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str],
     for k in range(n_blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) \
             .orderBy("item_id", "text").collect()  # one block of the query set
-        block = spark.sparkContext.broadcast(Block([r.item_id for r in part],
-                                                   [r.text.encode() for r in part]))
+        block = spark.sparkContext.broadcast(([r.item_id for r in part],
+                                              [r.text.encode() for r in part]))
 
         def visit(batches, block=block):
-            hasher = WordHasher()
+            hasher, items = WordHasher(), Block(*block.value)
             for batch in batches:
                 held, first = [], 0
                 texts = raw_texts(batch.column(0))
                 for i, t in enumerate(texts):
                     held.append(hasher(t))
-                    if sum(map(len, held[-1:])) and sum(map(len, held)) >= SHARD_WORDS:
-                        yield _shard(batch.slice(first, i + 1 - first), held, block.value)
+                    if sum(map(len, held)) >= SHARD_WORDS:
+                        yield _shard(batch.slice(first, i + 1 - first), held, items)
                         held, first = [], i + 1
                 if held:
-                    yield _shard(batch.slice(first), held, block.value)
+                    yield _shard(batch.slice(first), held, items)
         state = state.mapInArrow(visit, schema)
 
     def finish(batches):

@@ -8,6 +8,7 @@ from .licenses import OP4_SQL, op4_license_scan
 from .mixing import op1_mix_sources
 from .near_dup import op3_ngram_join
 from .quality import op5_quality
+from .suffix_dedup import op10_suffix_dedup
 from .token_output import op9_token_output
 from .toxicity import op6_toxicity
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_output": op9_token_output,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL = {
