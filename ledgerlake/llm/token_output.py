@@ -22,6 +22,8 @@ from __future__ import annotations
 import os
 import posixpath
 import re
+import sys
+import types
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
@@ -90,6 +92,14 @@ class PieceEncoder:
         return np.frombuffer(b"".join([known(u) or make(u) for u in units]), np.uint32)
 
 
+def worker_encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python worker, kept from task to task with its stored pieces."""
+    kept = sys.modules.setdefault("_ledgerlake_worker", types.ModuleType("_ledgerlake_worker"))
+    if path not in kept.__dict__:
+        setattr(kept, path, PieceEncoder(path))
+    return getattr(kept, path)
+
+
 def _file_system(url: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(url if "://" in url or url.startswith("file:")
                                     else "file://" + url)
@@ -199,7 +209,7 @@ def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
     path = tokenizer if isinstance(tokenizer, str) else tokenizer()
 
     def encode(batches):
-        encoder = PieceEncoder(path)
+        encoder = worker_encoder(path)
         top = max(end_id, encoder.tokenizer.get_vocab_size(with_added_tokens=True) - 1)
         dtype = np.dtype(np.uint16 if top < 1 << 16 else np.uint32)
         end = np.array([end_id], np.uint32)
