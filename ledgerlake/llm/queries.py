@@ -9,11 +9,13 @@ from .mixing import op1_mix_sources
 from .near_dup import op3_ngram_join
 from .quality import op5_quality
 from .suffix_dedup import op10_suffix_dedup
+from .token_counts import op2_token_counts
 from .token_output import op9_token_output
 from .toxicity import op6_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_join": op3_ngram_join,
     "op4_license_scan": op4_license_scan,
     "op5_quality": op5_quality,
