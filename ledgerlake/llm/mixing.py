@@ -150,19 +150,19 @@ def stored_sizes(docs: DataFrame) -> DataFrame:
 def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken. The runs at the edges of
     a selection give rows of the words taken; rows that repeat doc_id and text count once."""
-    chosen = mixed.filter("taken > 0").dropDuplicates(["doc_id", "text_id"]) \
-        .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_tid"), "size", "whole",
-                "a", "b", "c", "d")
+    chosen = mixed.filter("taken > 0").dropDuplicates(["doc_id", "text_id"]).select(
+        *[F.col(c).alias(f"_{c}") for c in ("doc_id", "text_id", "size", "whole", *"abcd")])
     words = F.regexp_extract_all(F.col("text"), F.lit(_WORD), F.lit(0))
-    full = lambda x, y: F.col(y) - F.col(x) == F.col("size")
-    some = lambda x, y: (F.col(y) > F.col(x)) & ~full(x, y)
-    cut = lambda x, y: F.when(some(x, y), F.array(F.concat_ws(
-        " ", F.slice(words, F.col(x).cast("int") + 1, (F.col(y) - F.col(x)).cast("int"))))) \
+    length = lambda x, y: F.col(y) - F.col(x)
+    full = lambda x, y: length(x, y) == F.col("_size")
+    cut = lambda x, y: F.when((length(x, y) > 0) & ~full(x, y), F.array(
+        F.concat_ws(" ", F.slice(words, F.col(x).cast("int") + 1, length(x, y).cast("int"))))) \
         .otherwise(F.array().cast("array<string>"))
-    copies = F.col("whole") + full("a", "b").cast("long") + full("c", "d").cast("long")
-    texts = F.concat(F.array_repeat("text", copies.cast("int")), cut("a", "b"), cut("c", "d"))
-    rows = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_id"))
-                     & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_tid")))
+    copies = F.col("_whole") + full("_a", "_b").cast("long") + full("_c", "_d").cast("long")
+    texts = F.concat(F.array_repeat("text", copies.cast("int")), cut("_a", "_b"),
+                     cut("_c", "_d"))
+    rows = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_doc_id"))
+                     & (F.md5(F.coalesce(docs["text"], F.lit(""))) == F.col("_text_id")))
     rows = rows.withColumn("_one", F.explode(texts)).withColumn("text", F.col("_one"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
