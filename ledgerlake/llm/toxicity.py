@@ -17,6 +17,8 @@ columns are not read. Scoring reads every whole text once, without a shuffle."""
 from __future__ import annotations
 
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -53,12 +55,25 @@ def with_stems(words: set[bytes]) -> list[bytes]:
     return sorted(words | stems)
 
 
+def _without_one(text: str) -> list[str]:
+    """A string, and what is left of it without each of its letters."""
+    return [text, *[text[:i] + text[i + 1:] for i in range(len(text))]]
+
+
+def worker_lexicon(weights: dict[str, float]) -> Lexicon:
+    """The lexicon of this Python worker, kept from task to task with the words seen."""
+    kept = sys.modules.setdefault("_ledgerlake_worker", types.ModuleType("_ledgerlake_worker"))
+    if kept.__dict__.get("weights") != weights:
+        kept.weights, kept.lexicon = weights, Lexicon(weights)
+    return kept.lexicon
+
+
 class Lexicon:
     """A trie of terms with weights, searched by Levenshtein automata of distance 1."""
 
     def __init__(self, weights: dict[str, float]):
         self.root: dict = {}
-        self.heads, self.tails, self.seen = set(), set(), {}
+        self.shorter, self.seen = set(), {}  # terms and what is left of them without a letter
         self.stems = {t[:-1]: w for t, w in weights.items() if t.endswith("*")}
         weights = {t: w for t, w in weights.items() if not t.endswith("*")}
         for term, weight in weights.items():
@@ -66,9 +81,8 @@ class Lexicon:
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = weight
-            if len(term) >= MIN_FUZZY:  # one edit leaves the first or the last two letters
-                self.heads.add(term[:2])
-                self.tails.add(term[-2:])
+            if len(term) >= MIN_FUZZY:
+                self.shorter.update(_without_one(term))
         self.exact = {t.encode(): w for t, w in weights.items()}
 
     def find(self, word: bytes) -> tuple[float, int] | None:
@@ -81,7 +95,9 @@ class Lexicon:
         text = word.decode("utf-8", "replace")
         stem = self.stems.get(text[:STEM]) if len(word) > STEM else None
         found = (stem, 0) if stem is not None else None
-        if found is None and len(text) >= MIN_FUZZY - 1 and (text[:2] in self.heads or text[-2:] in self.tails):
+        # one edit apart means one string in common when a letter may go on either side
+        if found is None and len(text) >= MIN_FUZZY - 1 and \
+                not self.shorter.isdisjoint(_without_one(text)):
             best = self._run(text, 0, self.root, 1, 0)
             found = (best, 1) if best is not None else None
         if len(self.seen) >= CACHE_WORDS:
@@ -197,7 +213,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic",
 def score_toxicity(docs: DataFrame, weights: dict[str, float], trees: gbdt.Trees) -> DataFrame:
     """(doc_id, score) of every row."""
     def score(batches):
-        lexicon = Lexicon(weights)
+        lexicon = worker_lexicon(weights)
         for b in batches:
             x = np.array([features(t, lexicon) for t in raw_texts(b.column(1))]) \
                 .reshape(-1, N_FEATURES)
