@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
                 count_col: str | None = None, hot_rows: int | None = None,
-                max_hot_keys: int = 1000, salt_cols: list[str] | None = None) -> DataFrame:
+                salt_cols: list[str] | None = None) -> DataFrame:
     """Join a fact table to a table with at most one row per key, safe for hot keys.
 
     No broadcast hint on ``lookup``: it grows with the data (e.g. hourly velocity). Spark
@@ -15,23 +15,20 @@ def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "
     AQE does from real sizes); otherwise it is a sort-merge join.
 
     When ``lookup`` carries the number of fact rows per key (``count_col``) and
-    ``hot_rows`` is set, keys with more than ``hot_rows`` rows are split: the hottest
-    ``max_hot_keys`` of them (a proven bound on what is broadcast) get
+    ``hot_rows`` is set, every key with more than ``hot_rows`` rows is split: it gets
     ``ceil(count / hot_rows)`` salt values; each fact row of a hot key takes a salt from a
     hash of ``salt_cols`` and its input partition id, and the lookup row is replicated
     once per salt. An input split always holds the same rows, so a retried task assigns
     the same salts; identical copies in different splits spread, and copies within one
-    split are bounded by the split size. The hot key then spreads over that many shuffle partitions
-    instead of one task. Hot keys beyond the first ``max_hot_keys`` still join correctly,
-    just unsplit. Equi-join semantics are kept: NULL keys never match.
+    split are bounded by the split size. The list of hot keys, the one thing broadcast, has at
+    most (fact rows / hot_rows) rows and comes from exact counts, so both sides agree on it.
+    Equi-join semantics are kept: NULL keys never match.
     """
     if count_col is None or hot_rows is None:
         return big.join(lookup, on=keys, how=how)
-    salts = F.least(F.ceil(F.col(count_col) / F.lit(hot_rows)), F.lit(4096)).cast("int")
-    hot = (lookup.filter(F.col(count_col) > hot_rows)
-           .orderBy(F.col(count_col).desc()).limit(max_hot_keys)
-           .select(*keys, salts.alias("_salts")))
-    hot = F.broadcast(hot)  # at most max_hot_keys rows
+    salts = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
+    hot = F.broadcast(lookup.filter(F.col(count_col) > hot_rows)  # at most rows / hot_rows keys
+                      .select(*keys, salts.alias("_salts")))
     salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or big.columns)],
                           F.spark_partition_id())
     big_s = big.join(hot, on=keys, how="left").select(
@@ -46,29 +43,23 @@ def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "
 
 
 def fanout_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int | None = None,
-                max_hot_keys: int = 1000, sample_fraction: float = 0.01,
-                salt_cols: list[str] | None = None, seed: int = 17) -> DataFrame:
+                salt_cols: list[str] | None = None) -> DataFrame:
     """LEFT JOIN where the *right* side may hold very many rows for one key (e.g. a
     transaction scored over and over), so the hot key cannot be split on the preserved side.
 
-    Keys whose right-side row count looks larger than ``hot_rows`` are found from a seeded
-    Bernoulli sample of the right side's key column (the sample only chooses which keys to
-    split; every row is joined). For those keys (at most ``max_hot_keys``, broadcast) the
-    right rows take a salt from a hash of their columns and input split, and each left row
-    is replicated once per salt. After the join, replicas of a hot key that found no right
-    row in their salt are dropped: a hot key has right rows, so each left row keeps exactly
-    its matches - the same rows as the plain LEFT JOIN.
+    Keys with more than ``hot_rows`` rows on the right are found by an exact count, combined
+    map-side (at most right rows / hot_rows keys, broadcast). Their right rows take a salt from
+    a hash of their columns and input split, and each left row is replicated once per salt.
+    After the join, replicas of a hot key that found no right row in their salt are dropped: a
+    hot key has right rows, so each left row keeps exactly its matches - the same rows as the
+    plain LEFT JOIN.
     """
     if hot_rows is None:
         return left.join(right, on=key, how="left")
-    threshold = max(1, int(hot_rows * sample_fraction))
-    sampled = (right.select(key).filter(F.col(key).isNotNull())
-               .sample(withReplacement=False, fraction=sample_fraction, seed=seed)
-               .groupBy(key).agg(F.count(F.lit(1)).alias("_sn"))
-               .filter(F.col("_sn") > threshold))
-    salts = F.least(F.ceil(F.col("_sn") / F.lit(threshold)), F.lit(4096)).cast("int")
-    hot = F.broadcast(sampled.orderBy(F.col("_sn").desc()).limit(max_hot_keys)
-                      .select(key, salts.alias("_salts")))
+    counted = right.filter(F.col(key).isNotNull()).groupBy(key) \
+        .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = F.broadcast(counted.select(
+        key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
     left_s = left.join(hot, on=key, how="left").select(
         key, *[c for c in left.columns if c != key],
         F.col("_salts").isNotNull().alias("_hot"),

@@ -26,12 +26,8 @@ class Params:
     signal_dedup: str = "none"                # "none" keeps the fan-out; "latest" keeps one signal per id
     fraud_reasons_separator: str = "|"
     # Skew handling: a join key with more rows than this is split over ceil(n / hot_key_rows)
-    # partitions; at most max_hot_keys such keys are broadcast as the hot-key list.
+    # partitions; the broadcast list of such keys has at most (rows / hot_key_rows) entries.
     hot_key_rows: int | None = 1_000_000
-    max_hot_keys: int = 1000
-    # Incremental-refresh scan bounds (None = exact, scan everything processed so far).
-    late_score_days: int | None = None        # a score's transaction is at most this old
-    score_skew_days: int | None = None        # a signal is scored at most this long before its txn
 
 
 DEFAULT = Params()

@@ -73,7 +73,7 @@ FRAUD_SIGNALS_TABLE = _struct(
 
 PIPELINE_RUNS = _struct(
     ("run_id", S, False), ("pipeline_name", S, False), ("partition_date", DT, False),
-    ("status", S, False), ("rows_ingested", I, True), ("rows_failed", I, True),
+    ("status", S, False), ("rows_ingested", L, True), ("rows_failed", L, True),
     ("duration_seconds", dec(8, 2), True), ("error_message", S, True),
     ("started_at", TS, False), ("completed_at", TS, True),
 )

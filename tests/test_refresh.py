@@ -1,5 +1,3 @@
-import os
-
 from pyspark.sql import functions as F
 
 from ledgerlake.plans.compare import comparable
@@ -27,27 +25,65 @@ def test_incremental_equals_full(spark, scratch):
     for b in range(3):
         # signals arrive one batch after (or before) their transactions: late scores
         seen.append(incremental_refresh(spark, _batch(raw_t, b), _batch(raw_f, b, 1), inc_root))
-    assert all(seen)
+    assert not any(d.isEmpty() for d in seen)
     full, inc = table_paths(full_root), table_paths(inc_root)
     for name in ["int_transactions_enriched", "mart_transaction_summary",
                  "mart_fraud_detection", "mart_compliance"]:
         assert _rows(spark, full[name]) == _rows(spark, inc[name]), name
 
 
-def test_bounded_incremental_equals_full_and_prunes(spark, scratch):
-    from ledgerlake.params import Params
-    raw_t, raw_f = raw_inputs(spark, SF_SMOKE)
-    params = Params(late_score_days=2, score_skew_days=1)
-    full_refresh(spark, raw_t, raw_f, f"{scratch}/full")
-    for b in range(3):
-        incremental_refresh(spark, _batch(raw_t, b), _batch(raw_f, b, 1), f"{scratch}/inc",
-                            params)
-    full, inc = table_paths(f"{scratch}/full"), table_paths(f"{scratch}/inc")
-    for name in ["mart_transaction_summary", "mart_fraud_detection"]:
+def _same_models(spark, full_root, inc_root):
+    full, inc = table_paths(full_root), table_paths(inc_root)
+    for name in ["int_transactions_enriched", "mart_transaction_summary", "mart_compliance"]:
         assert _rows(spark, full[name]) == _rows(spark, inc[name]), name
-    sig_dates = {p.split("=")[1] for p in os.listdir(inc["stg_fraud_signals"])
-                 if p.startswith("score_date=")}
-    assert sig_dates and all(d.startswith("2024-01-0") for d in sig_dates)
+
+
+def test_an_id_on_two_dates_has_one_report(spark, scratch):
+    from tests.helpers import raw_sig_df, raw_txn_df, txn
+    first = raw_txn_df(spark, [txn("x", amount=20000.0), txn("y", amount=15000.0)])
+    later = raw_txn_df(spark, [txn("x", amount=20000.0, timestamp="2025-05-17T10:20:30.123456")])
+    none = raw_sig_df(spark, [])
+    for batch in (first, later):
+        incremental_refresh(spark, batch, none, f"{scratch}/inc")
+    full_refresh(spark, first.unionByName(later), none, f"{scratch}/full")
+    _same_models(spark, f"{scratch}/full", f"{scratch}/inc")
+
+
+def test_a_superseded_score_clears_its_date(spark, scratch):
+    from ledgerlake.params import Params
+    from tests.helpers import raw_sig_df, raw_txn_df, sig, txn
+    params = Params(signal_dedup="latest")
+    t, none = raw_txn_df(spark, [txn("x")]), raw_txn_df(spark, [])
+    high = raw_sig_df(spark, [sig("x", 0.9)])
+    low = raw_sig_df(spark, [sig("x", 0.1, scored_at="2025-05-16T12:00:00")])
+    incremental_refresh(spark, t, high, f"{scratch}/inc", params)
+    incremental_refresh(spark, none, low, f"{scratch}/inc", params)
+    fraud = spark.read.schema("transaction_id string").parquet(
+        table_paths(f"{scratch}/inc")["mart_fraud_detection"])
+    assert fraud.count() == 0
+
+
+def test_a_repeated_run_lands_and_stages_once(spark, scratch):
+    from tests.helpers import raw_sig_df, raw_txn_df, sig, txn
+    t, f = raw_txn_df(spark, [txn("x")]), raw_sig_df(spark, [sig("x")])
+    for _ in range(2):
+        run_pipeline(spark, t, f, scratch, "2025-05-16", batch_id="b1")
+    assert spark.read.parquet(f"{scratch}/raw/transactions").count() == 1
+    assert spark.read.parquet(table_paths(scratch)["int_transactions_enriched"]).count() == 1
+
+
+def test_runs_without_valid_rows(spark, scratch):
+    import pytest
+    from tests.helpers import raw_sig_df, raw_txn_df, sig, txn
+    f = raw_sig_df(spark, [sig("x")])
+    with pytest.raises(ValueError):
+        run_pipeline(spark, raw_txn_df(spark, []), f, f"{scratch}/a", "2025-05-16")
+    missing = raw_txn_df(spark, [txn("x")]).drop("amount")
+    row = run_pipeline(spark, missing, f, f"{scratch}/b", "2025-05-16").collect()[0]
+    assert row["status"] == "success" and row["rows_ingested"] == 0
+    bad = raw_txn_df(spark, [txn("x", amount=-5.0)])
+    row = run_pipeline(spark, bad, f, f"{scratch}/c", "2025-05-16").collect()[0]
+    assert row["rows_ingested"] == 0 and row["rows_failed"] == 1
 
 
 def test_run_pipeline_lands_and_audits(spark, scratch):

@@ -95,7 +95,7 @@ def test_fanout_join_splits_hot_right_key(spark):
     right = spark.createDataFrame([("hot", i) for i in range(600)] + [("cold", 1), ("cold", 2)]
                                   + [("orphan", 9)], "k string, rv int").repartition(8)
     with no_broadcast(spark):
-        salted = fanout_join(left, right, "k", hot_rows=50, sample_fraction=0.5)
+        salted = fanout_join(left, right, "k", hot_rows=50)
         plain = left.join(right, "k", "left")
         assert _sorted(salted) == _sorted(plain)
         assert salted.count() == 1200 + 2 + 1 + 1
