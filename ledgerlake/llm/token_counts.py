@@ -124,6 +124,12 @@ def _with_text_id(docs: DataFrame) -> DataFrame:
         .withColumn("text_id", F.md5("text"))
 
 
+def _with_row(df: DataFrame) -> DataFrame:
+    """One key for (doc_id, text_id), so that grouping and joining share a partitioning."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return df.withColumn("_row", F.concat_ws(" ", doc_id, "text_id"))
+
+
 def count_trees(docs: DataFrame, counter=default_counter) -> DataFrame:
     """(doc_id, text_id, n_tokens, lengths, tree) of every row."""
     def build(batches):
@@ -163,15 +169,11 @@ def apply_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, counter=def
                  pa.array([n for _, _, n in rows], pa.int64())],
                 ["doc_id", "text_id", "n_tokens", "lengths", "tree", "n_edits", "n_encoded"])
     bounded_batches(docs.sparkSession)
-    by_row = edits.groupBy("doc_id", "text_id").agg(
+    by_row = _with_row(edits).groupBy("_row").agg(
         F.collect_set(F.struct("begin", "end", "replacement")).alias("edits"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (
-        a["text_id"] == b["text_id"])
-    held = trees.dropDuplicates(["doc_id", "text_id"])
-    texts = _with_text_id(docs).dropDuplicates(["doc_id", "text_id"])
-    t, h, e = texts.alias("t"), held.alias("h"), by_row.alias("e")
-    found = t.join(e, same(texts, by_row)).join(h, same(texts, held)) \
-        .select("t.doc_id", "t.text_id", "t.text", "h.lengths", "h.tree", "e.edits")
+    held = _with_row(trees).select("_row", "lengths", "tree").dropDuplicates(["_row"])
+    found = _with_row(_with_text_id(docs)).dropDuplicates(["_row"]) \
+        .join(by_row, "_row").join(held, "_row")
     return found.select("doc_id", "text_id", "text", "lengths", "tree", "edits") \
         .mapInArrow(run, _TREE + ", n_edits bigint, n_encoded bigint")
 
@@ -194,12 +196,25 @@ def redactions(docs: DataFrame, patterns: dict[str, str] = REDACTIONS) -> DataFr
         find, "doc_id bigint, text_id string, begin int, end int, replacement string")
 
 
+def with_matches(docs: DataFrame, patterns: dict[str, str] = REDACTIONS) -> DataFrame:
+    """(doc_id, text) of the rows that ``redactions`` edits: no other text has to move."""
+    compiled = [re.compile(p) for p in patterns.values()]
+
+    def keep(batches):
+        for b in batches:
+            yield b.filter(pa.array([any(p.search(t) for p in compiled)
+                                     for t in b.column(1).to_pylist()], pa.bool_()))
+    bounded_batches(docs.sparkSession)
+    return _with_text_id(docs).select("doc_id", "text") \
+        .mapInArrow(keep, "doc_id bigint, text string")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents before and after personal data is replaced."""
     docs = documents(spark, sf_dir)
     scratch = Scratch(spark, "token-counts")
     trees = scratch.write(count_trees(docs), "trees")
-    after = apply_edits(docs, trees, redactions(docs)) \
+    after = apply_edits(with_matches(docs), trees, redactions(docs)) \
         .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_tid"),
                 F.col("n_tokens").alias("_after"), "n_edits", "n_encoded")
     rows = trees.select("doc_id", "text_id", "n_tokens")

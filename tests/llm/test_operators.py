@@ -156,6 +156,23 @@ def test_token_counts(spark, docs, rows, none):
     assert token_counts.count_trees(none).count() == 0
 
 
+def test_edits_of_a_table_equal_counting_again(spark):
+    rows = [(1, "mail a.b@c.org or 10.0.0.1 now"), (1, "other text"), (None, "call +1 (555) 123-4567"),
+            (2, None), (3, ""), (4, "ip 1.2.3.4"), (4, "ip 1.2.3.4"), (5, "plain " * 300 + "x@y.zz")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    trees, count = token_counts.count_trees(docs), token_counts.default_counter()
+    got = token_counts.apply_edits(token_counts.with_matches(docs), trees,
+                                   token_counts.redactions(docs)).collect()
+    want = set()
+    for i, t in rows:
+        new = t or ""
+        for name, pattern in token_counts.REDACTIONS.items():
+            new = re.sub(pattern, name, new)
+        if new != (t or ""):
+            want.add((i, count(new)))
+    assert {(r.doc_id, r.n_tokens) for r in got} == want and len(got) == len(want)
+
+
 def brute_links(rows, threshold=0.8):
     sets = []
     for r in rows:
