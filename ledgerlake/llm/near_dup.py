@@ -16,7 +16,9 @@ the class_id is taken; repeated rows count as rows; empty tables give no rows; o
 not read.
 
 Scale: sets are made only for classes that are candidates. A group of k classes is k / BLOCK
-rows a class and (k / BLOCK)**2 / 2 tasks, dealt by hash; nothing is capped."""
+rows a class and (k / BLOCK)**2 / 2 tasks, dealt by hash; nothing is capped. What is known of a
+band, group or component is written as a table before its members join it: then both sides of
+the join come straight from shuffles and AQE splits the members of a very large group."""
 
 from __future__ import annotations
 
@@ -86,24 +88,27 @@ def text_id(text: Column) -> Column:
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): alternating large and small stars."""
+    def with_low(rows: DataFrame, table: str) -> DataFrame:
+        """``rows`` with m, the smallest b of their a. The minima are a table, so that both sides
+        of the join come straight from shuffles, and AQE can split a centre with many rows."""
+        low = rows.groupBy("a").agg(F.min("b").alias("m"))
+        return rows.join(scratch.write(low, table), "a")
+
     state = scratch.write(edges.filter("a <> b").distinct(), f"{name}-0")
     step, before = 0, None
     while True:
+        step += 1
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")) \
-            .select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").filter("b > a") \
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        joined = down.join(low, "a")
+        large = with_low(both, f"{name}-{step}-low").filter("b > a") \
+            .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+        large = scratch.write(large, f"{name}-{step}-large")
+        joined = with_low(large, f"{name}-{step}-small")
         small = joined.select("a", F.col("m").alias("b")).unionByName(
             joined.select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
-        step += 1
         after = scratch.write(small, f"{name}-{step}")
         seen = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if step > 1:
-            scratch.drop(f"{name}-{step - 2}")
+        for table in (f"{step}-low", f"{step}-large", f"{step}-small", f"{step - 1}"):
+            scratch.drop(f"{name}-{table}")
         if seen == before:
             break
         state, before = after, seen
@@ -152,6 +157,7 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     held = classes.select("key", F.explode("bands").alias("band"))
     stars = held.groupBy("band").agg(F.min("key").alias("b"), F.count("*").alias("n")) \
         .filter("n > 1").select("band", "b")
+    stars = scratch.write(stars, "stars")
     rough = components(held.join(stars, "band").select(F.col("key").alias("a"), "b"),
                        scratch, "rough")
     rough = scratch.write(rough, "rough")
@@ -166,7 +172,7 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([_key(g) for g in grams], pa.binary()),
                  pa.array([g.tobytes() for g in grams], pa.binary())], ["id", "key", "grams"])
-    ids = wanted.select("id").distinct()
+    ids = scratch.write(wanted.select("id").distinct(), "ids")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("id"),
                         "text").join(ids, "id", "left_semi")
     sets = texts.mapInArrow(make_sets, "id bigint, key binary, grams binary") \
@@ -175,6 +181,7 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     sets = scratch.write(sets, "sets")
     widths = sets.groupBy("root").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("width"))
+    widths = scratch.write(widths, "widths")
     n_small = max(1, sets.count() // BLOCK)
     tasks = sets.join(widths, "root") \
         .withColumn("i", F.pmod(F.xxhash64("key"), F.col("width")).cast("int")) \
@@ -194,7 +201,9 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         .join(final, F.col("key") == F.col("node"), "left").join(links, "key", "left") \
         .select("key", "first_id", F.coalesce("root", "key").alias("class_key"),
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    firsts = named.groupBy("class_key").agg(F.min("first_id").alias("class_id"))
+    named = scratch.write(named, "named")
+    firsts = scratch.write(
+        named.groupBy("class_key").agg(F.min("first_id").alias("class_id")), "firsts")
     named = named.join(firsts, "class_key").select("key", "class_key", "class_id", "n_links")
     return signed.select("doc_id", "text_id", "key").join(named, "key")
 
