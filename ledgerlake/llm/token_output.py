@@ -38,8 +38,9 @@ from .common import Scratch, bounded_batches, columns, documents
 
 SEQ_LEN = 2048
 END_ID = 1
-#: Distinct pieces that a worker keeps encoded.
-CACHE_PIECES = 300_000
+#: Distinct pieces in one generation of those that a worker keeps encoded; it keeps two, and
+#: half as many words between spaces, which are one piece or several.
+CACHE_PIECES = 200_000
 _BATCH_SEQS = 512
 _PIECE = re.compile(r"(?:[^\w\s]|_)*'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+")
 _WHOLE = re.compile(r"[^\S \t\n\r\x0b\x0c]|<\||[Σİ\x1c-\x1f]")
@@ -51,6 +52,27 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Store:
+    """Encoded pieces, two generations of them: a full one takes the place of the older, and
+    what is found in the older moves to the newer, so frequent pieces stay."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, piece: str) -> bytes | None:
+        ids = self.new.get(piece)
+        if ids is None:
+            ids = self.old.get(piece)
+            if ids is not None:
+                self.put(piece, ids)
+        return ids
+
+    def put(self, piece: str, ids: bytes) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[piece] = ids
+
+
 class PieceEncoder:
     """Ids of whole texts, with a bounded store of the pieces encoded so far."""
 
@@ -58,37 +80,36 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.units, self.pieces = cache_pieces, {}, {}
+        self.units, self.pieces = _Store(cache_pieces // 2), _Store(cache_pieces)
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         self.byte_chars = {b: chr(b) for b in printable} | \
             {b: chr(256 + k) for k, b in enumerate(others)}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             if _LETTERS.fullmatch(piece):  # one word of the vocabulary's model
                 mapped = piece.encode().decode("latin-1").translate(self.byte_chars)
-                ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+                found = [t.id for t in self.tokenizer.model.tokenize(mapped)]
             else:
-                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            self.pieces[piece] = ids
+                found = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            ids = np.array(found, np.uint32).tobytes()
+            self.pieces.put(piece, ids)
         return ids
 
-    def _unit(self, unit: str) -> np.ndarray:
-        ids = [i for p in _PIECE.findall(unit) for i in self._piece(p)]
-        if len(self.units) >= self.limit:
-            self.units.clear()
-        ids = self.units[unit] = np.array(ids, np.uint32).tobytes()
+    def _unit(self, unit: str) -> bytes:
+        ids = self.units.get(unit)
+        if ids is None:
+            ids = b"".join([self._piece(p) for p in _PIECE.findall(unit)])
+            self.units.put(unit, ids)
         return ids
 
     def __call__(self, text: str) -> np.ndarray:
         if not text.isascii() and not unicodedata.is_normalized("NFC", text) or \
                 _WHOLE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        units, known, make = text.lower().split(), self.units.get, self._unit
+        units, known, make = text.lower().split(), self.units.new.get, self._unit
         return np.frombuffer(b"".join([known(u) or make(u) for u in units]), np.uint32)
 
 
