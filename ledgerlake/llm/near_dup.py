@@ -37,6 +37,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 BAND_ROWS = 5
 BLOCK = 256
+#: Shingles in one 0/1 matrix.
+MATRIX_COLUMNS = 16384
 
 
 def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
@@ -117,21 +119,26 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _blocks(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links between the classes of a task: all in one block, or of one block to the other."""
+    """Links between the classes of a task, one candidate group after the other."""
+    return pd.concat([_links(group, threshold) for _, group in pdf.groupby("root")])
+
+
+def _links(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between classes of one group: all in one block, or of one block to the other."""
     sets = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
     n, sizes = len(sets), np.array([len(s) for s in sets])
     grams, column = np.unique(np.concatenate(sets), return_inverse=True)
     shared = np.bincount(column) > 1  # a shingle of one class alone can't meet
     number = np.cumsum(shared) - 1
     row, keep = np.repeat(np.arange(n), sizes), shared[column]
-    matrix = np.zeros((n, int(shared.sum())), np.float32)
-    matrix[row[keep], number[column[keep]]] = 1
-    both = matrix @ matrix.T
+    row, column, both = row[keep], number[column[keep]], np.zeros((n, n), np.float32)
+    for first in range(0, int(shared.sum()), MATRIX_COLUMNS):
+        part = (column >= first) & (column < first + MATRIX_COLUMNS)
+        matrix = np.zeros((n, min(MATRIX_COLUMNS, int(shared.sum()) - first)), np.float32)
+        matrix[row[part], column[part] - first] = 1
+        both += matrix @ matrix.T
     linked = both >= threshold * (sizes[:, None] + sizes - both) - 1e-3
-    root = pdf["root"].to_numpy()
     side, wide = pdf["side"].to_numpy(), pdf["cross"].to_numpy()
-    _, group = np.unique(root, return_inverse=True)
-    linked &= group[:, None] == group
     linked &= ~wide[:, None] | (side[:, None] != side)
     np.fill_diagonal(linked, False)
     links = linked.astype(np.int64) @ pdf["copies"].to_numpy()
