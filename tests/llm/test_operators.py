@@ -234,6 +234,93 @@ def test_licenses(spark, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE FOR ANY DIRECT DAMAGES.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_standard_license_notices(spark):
+    gpl2 = GPL.replace("software:", "software;").replace("version 3", "version 2")
+    want = {MIT: ("M2,M4,M3,M5", "MIT"), BSD: ("B1,B2,B3,B4,B5", "BSD"),
+            GPL: ("G2,G3,G5,G6", "GPL-3.0"), gpl2: ("G4,G3,G5,G6", "GPL-2.0"),
+            APACHE: ("A1,A2,A3,A4,A5", "Apache-2.0"),
+            APACHE[APACHE.index("you may not"):]: ("A2,A3,A4,A5", "Apache-2.0"),
+            MIT[MIT.index("The above"):]: ("M4,M3,M5", "MIT"),
+            # cut off or another text: no notice
+            "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+            "of this software and associated documentation files\nand more": ("", ""),
+            "All rights\nreserved for others": ("", "")}
+    unwrapped = lambda t: "\n".join(" ".join(p.split()) for p in t.split("\n\n"))
+    comment = lambda t: "\n".join(f" * {line}" for line in t.split("\n"))
+    rows = [(make(t), *w) for t, w in want.items()
+            for make in (str, comment, lambda t: t.replace("\n", "\r\n"))]
+    rows += [(unwrapped(t), *w) for t, w in want.items() if w[0]]
+    docs = spark.createDataFrame([(k, r[0]) for k, r in enumerate(rows)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {k: r[1:] for k, r in enumerate(rows)}
+
+
 def test_trees_learn_a_rule_and_score_flat():
     rng = np.random.default_rng(0)
     x = rng.random((800, 3))
