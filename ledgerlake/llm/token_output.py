@@ -10,7 +10,8 @@ copy. ``start`` of a document counts the ids of all documents before it in the w
 Encoding: the tokenizer drops white space and never joins a letter or digit with the
 punctuation beside it (contractions aside), so a text is encoded piece by piece and every
 distinct piece only once per worker. Texts for which that is not certain (not in NFC, rare
-white space, special tokens, letters whose lower case depends on their place) are encoded whole.
+white space, special tokens, letters whose lower case depends on their place) are encoded whole,
+and so are words with unassigned characters and pieces with numerals that are no decimal digits.
 
 Defined cases: a null text counts as empty (only the end id); null doc_ids come first; rows with
 the same doc_id are ordered by text; empty tables write no file; other columns are not read.
@@ -44,7 +45,6 @@ CACHE_PIECES = 200_000
 _BATCH_SEQS = 512
 _PIECE = re.compile(r"(?:[^\w\s]|_)*'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+")
 _WHOLE = re.compile(r"[^\S \t\n\r\x0b\x0c]|<\||[Σİ\x1c-\x1f]")
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def default_tokenizer() -> str:
@@ -89,7 +89,7 @@ class PieceEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            if _LETTERS.fullmatch(piece):  # one word of the vocabulary's model
+            if piece.isalpha():  # one word of the vocabulary's model; other numerals are not
                 mapped = piece.encode().decode("latin-1").translate(self.byte_chars)
                 found = [t.id for t in self.tokenizer.model.tokenize(mapped)]
             else:
@@ -101,7 +101,12 @@ class PieceEncoder:
     def _unit(self, unit: str) -> bytes:
         ids = self.units.get(unit)
         if ids is None:
-            ids = b"".join([self._piece(p) for p in _PIECE.findall(unit)])
+            if not unit.isascii() and any(unicodedata.category(c) == "Cn" for c in unit):
+                # unassigned here, but the tokenizer may know a newer Unicode
+                ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids,
+                               np.uint32).tobytes()
+            else:
+                ids = b"".join([self._piece(p) for p in _PIECE.findall(unit)])
             self.units.put(unit, ids)
         return ids
 

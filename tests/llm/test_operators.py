@@ -442,6 +442,16 @@ def test_token_files(docs, rows, none, tmp_path):
     assert token_output.token_output(none).count() == 0
 
 
+def test_pieces_equal_whole_texts():
+    encoder = token_output.PieceEncoder(token_output.default_tokenizer(), 4000)
+    whole = lambda t: encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    for text in ("5 m² of x² and km³", "①step ½cup Ⅳth", "a\U000105E4b x\uA7CDy"):
+        assert encoder(text).tolist() == whole(text), text
+    for c in [*range(0x80, 0x3000), *range(0xA000, 0xAC00), *range(0xF900, 0x20000, 5)]:
+        text = f"a{chr(c)}b 5{chr(c)} {chr(c)}'s"
+        assert encoder(text).tolist() == whole(text), hex(c)
+
+
 def test_suffix_dedup(docs, rows, none):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     seen, want = {}, []
