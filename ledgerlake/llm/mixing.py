@@ -6,8 +6,9 @@
    of cap / weight.
 2. Shards. The documents of a source are dealt by a seeded hash to shards of bounded size, so a
    hot source is many small groups.
-3. Quotas. The target blocks are given to sources, then each source's blocks to its shards, by
-   highest quotients votes / (2 k + 1). Only the quotients near the cut are made as rows: at
+3. Quotas. The target words are given to sources, turned into blocks of the source's own size
+   (single words where source or target is small), and these given to its shards, by highest
+   quotients votes / (2 k + 1). Only the quotients near the cut are made as rows: at
    divisor V / (B - n/2) every seat is certain, at V / (B + n/2) all seats are covered, so at
    most two candidates a party are ranked.
 4. Selection. In a shard the documents lie in seeded order and are cut into blocks of equal
@@ -29,6 +30,8 @@ from .common import Scratch, columns, documents
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 BLOCK_TOKENS = 16
+#: A source of fewer blocks than this, or with a target of fewer, has blocks of one word.
+SMALL_BLOCKS = 16
 SHARD_TOKENS = 1 << 22
 SHARD_ROWS = 50_000
 SEED = 17
@@ -104,15 +107,20 @@ def mix(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
     shards = dealt.groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"),
         F.first("target").alias("target"))
-    blocks = F.greatest(F.round(F.col("shard_size") / block_tokens), F.lit(1.0)).cast("long")
+    small = F.least(F.col("source_size"), F.col("target")) < SMALL_BLOCKS * block_tokens
+    blocks = F.when(small, F.col("shard_size")).otherwise(
+        F.greatest(F.round(F.col("shard_size") / block_tokens), F.lit(1.0))).cast("long")
     by_source = shards.withColumn("blocks", F.when(F.col("shard_size") > 0, blocks)
                                   .otherwise(F.lit(0).cast("long")))
     source_quota = sainte_lague(
         sources.withColumn("_all", F.lit(0)), ["_all"], ["source"], "target",
-        F.round(F.sum("target").over(W.partitionBy("_all")) / block_tokens)) \
-        .select(F.col("source").alias("_s"), F.col("quota").alias("source_quota"))
+        F.round(F.sum("target").over(W.partitionBy("_all")))) \
+        .select(F.col("source").alias("_s"), F.col("quota").alias("_words"))
     by_source = by_source.join(source_quota, F.col("source").eqNullSafe(F.col("_s"))).drop("_s") \
-        .withColumn("_votes", F.col("shard_size").cast("double"))
+        .withColumn("_votes", F.col("blocks").cast("double")) \
+        .withColumn("source_quota", F.when(F.col("source_size") > 0, F.round(
+            F.col("_words") * F.sum("_votes").over(W.partitionBy("source"))
+            / F.col("source_size"))).otherwise(F.lit(0.0)))
     quotas = scratch.write(sainte_lague(
         by_source, ["source"], ["shard"], "_votes", F.col("source_quota"))
         .select("source", "shard", "shard_size", "blocks",

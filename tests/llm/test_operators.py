@@ -120,6 +120,21 @@ def test_mixing(docs, rows, none):
     assert mixing.mix(mixing.stored_sizes(none)).count() == 0
 
 
+def test_tiny_sources_reach_their_targets(spark):
+    rng = random.Random(6)
+    sizes = {f"s{k:03}": rng.choice([1, 2, 5, 7, 25, 40, 130]) for k in range(90)} | \
+        {"large": 9000, "large2": 4000, "none": 0}
+    docs = spark.createDataFrame(
+        [(k, " ".join(["w"] * n), s) for k, (s, n) in enumerate(sizes.items())],
+        "doc_id bigint, text string, source string")
+    want, taken = brute_targets(sizes), collections.Counter()
+    for r in mixing.mix(mixing.stored_sizes(docs)).collect():
+        assert r.taken <= 3 * r.size and abs(r.target - want[r.source]) < 1e-6
+        taken[r.source] += r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= (1 if sizes[s] < 256 else mixing.BLOCK_TOKENS), s
+
+
 def test_sainte_lague_equals_seat_by_seat(spark):
     rng = random.Random(1)
     for seats in (0, 1, 7, 100):
