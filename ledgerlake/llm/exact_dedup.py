@@ -152,9 +152,11 @@ def exact_duplicates(docs: DataFrame, is_history, shard_digests: int = SHARD_DIG
     scratch = Scratch(spark, "exact-dedup")
     rows = scratch.write(digest_rows(docs, id_col, text_col), "rows")
     entries = scratch.write(groups(rows.filter(is_history)), "entries")
-    n_shards = entries.count() // shard_digests + 1
+    new = scratch.write(groups(rows.filter(~is_history)), "new")
+    # a shard holds its part of both, and either may be the larger
+    n_shards = max(entries.count(), new.count()) // shard_digests + 1
     index = scratch.write(build_index(entries, n_shards), "index")
-    all_groups = resolve(groups(rows.filter(~is_history)), index, n_shards)
+    all_groups = resolve(new, index, n_shards)
     real_id = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return rows.join(all_groups, "digest") \
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))) \

@@ -72,6 +72,19 @@ def test_exact_dedup(docs, rows, none):
     assert exact_dedup.exact_duplicates(none, F.col("doc_id") <= 10).count() == 0
 
 
+def test_new_digests_have_shards_without_history(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i // 2}") for i in range(120)],
+                                 "doc_id bigint, text string")
+    shards, resolve = [], exact_dedup.resolve
+    monkeypatch.setattr(exact_dedup, "resolve",
+                        lambda new, index, n: shards.append(n) or resolve(new, index, n))
+    for history in (F.lit(False), F.col("doc_id") <= 0, F.lit(True)):
+        got = exact_dedup.exact_duplicates(docs, history, shard_digests=5).collect()
+        assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {
+            (i, i | 1, 2, i % 2 == 1) for i in range(120)}
+    assert min(shards) >= 60 // 5
+
+
 def test_perfect_hash_is_minimal_and_rejects_strangers():
     digests = np.frombuffer(b"".join(hashlib.sha256(bytes([a, b])).digest()
                                      for a in range(40) for b in range(40)), np.uint8).reshape(-1, 32)
