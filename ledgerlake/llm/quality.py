@@ -26,7 +26,7 @@ _LOWER, _UPPER, _DIGIT, _SPACE, _PUNCT, _HIGH = range(6)
 _KIND = np.full(256, _PUNCT, np.int64)
 _KIND[0x61:0x7B], _KIND[0x41:0x5B], _KIND[0x30:0x3A], _KIND[0x80:] = _LOWER, _UPPER, _DIGIT, _HIGH
 _KIND[[0x20, *range(9, 14)]] = _SPACE
-N_FEATURES = 19
+N_FEATURES = 20
 
 
 def statistics(text: bytes) -> list[float]:
@@ -43,7 +43,7 @@ def statistics(text: bytes) -> list[float]:
     ends = sum(line.rstrip()[-1:] in (b".", b"!", b"?") for line in lines)
     return [np.log1p(len(data)), np.log1p(n_words), n / n_words, *(kinds / n),
             *marks, (share * share).sum(), len(set(words)) / n_words,
-            len(set(lines)) / n_lines, n_words / n_lines, ends / n_lines][:N_FEATURES]
+            len(set(lines)) / n_lines, n_words / n_lines, ends / n_lines]
 
 
 def held_out(id_col: Column) -> Column:

@@ -358,6 +358,12 @@ def test_trees_learn_a_rule_and_score_flat():
     assert gbdt.fit(x[:0], y[:0]).score(x[:2]).tolist() == [0.5, 0.5]
 
 
+def test_trees_see_the_share_of_ended_lines():
+    seen = quality.statistics(b"One ends.\ntwo does not\nthree\nfour does! ")
+    assert len(seen) == quality.N_FEATURES and seen[-1] == 0.5
+    assert len(quality.statistics(b"")) == quality.N_FEATURES
+
+
 def test_classifiers_on_held_out_rows(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"
