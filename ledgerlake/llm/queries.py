@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op8_decontaminate
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .licenses import OP4_SQL, op4_license_scan
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .mixing import op1_mix_sources
 from .near_dup import op3_ngram_join
 from .quality import op5_quality
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_output": op9_token_output,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE_SQL = {
     "op4_license_scan": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
