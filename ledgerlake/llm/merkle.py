@@ -77,9 +77,8 @@ def bucket(level: int) -> Column:
 
 def levels(leaves: DataFrame, scratch: Scratch, name: str) -> list[DataFrame]:
     """The nodes (tree, lo, hi, size, digest, children) of all trees, a table for each level;
-    the interval [lo, hi) holds the ranks that a node covers."""
-    bottom = leaves.select("tree", F.col("rank").alias("lo"), (F.col("rank") + 1).alias("hi"),
-                           "size", "digest")
+    the interval [lo, hi) holds the ranks that a node covers. Leaves keep their columns."""
+    bottom = leaves.withColumn("lo", F.col("rank")).withColumn("hi", F.col("rank") + 1).drop("rank")
     found, largest = [bottom], leaves.agg(F.max("size")).first()[0] or 0
     while FANOUT ** (len(found) - 1) < largest:
         k = len(found)
@@ -93,8 +92,9 @@ def levels(leaves: DataFrame, scratch: Scratch, name: str) -> list[DataFrame]:
 
 
 def attach(nodes: list[DataFrame], above: DataFrame) -> DataFrame:
-    """The leaves (tree, lo, top, root, path) of all trees. ``above`` gives the path and the root
-    over each tree: (tree, root, path); top is the tree's own root."""
+    """The leaves of all trees with top, root and path. ``above`` gives the path and the root
+    over each tree: (tree, root, path); top is the tree's own root. A path is the longest of the
+    columns, so a leaf's is made by the last join and is not shuffled again."""
     above = above.select(F.col("tree").alias("_tree"), "root", "path")
     upper = None
     for k in reversed(range(len(nodes))):
@@ -128,30 +128,22 @@ def fold(leaf: Column, path: Column) -> Column:
 
 
 def prove(leaves: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
-    """``leaves`` (tree, digest, ...) with subroot, root and path; ``order`` sorts a tree."""
-    leaves = ranked(leaves, order, scratch, "leaves")
-    trees = levels(leaves, scratch, "tree")
+    """``leaves`` (tree, digest, ...) with top, root and path; ``order`` sorts a tree."""
+    trees = levels(ranked(leaves, order, scratch, "leaves"), scratch, "tree")
     tops = None
     for level in trees:
         own = level.filter(is_root()).select(F.col("tree").alias("name"), "digest")
         tops = own if tops is None else tops.unionByName(own)
     tops = scratch.write(tops.withColumn("tree", F.lit(0)), "tops")
-    tops = ranked(tops, ["name"], scratch, "tops")
-    forest = levels(tops, scratch, "forest")
+    forest = levels(ranked(tops, ["name"], scratch, "tops"), scratch, "forest")
     # the path over the only root of the forest is empty, and that root is the dataset's
     over = None
     for level in forest:
         own = level.filter(is_root()).select("tree", F.col("digest").alias("root"))
         over = own if over is None else over.unionByName(own)
     over = over.withColumn("path", F.array().cast(_PATH))
-    over = attach(forest, over).select(F.col("lo").alias("rank"), "root", "path") \
-        .join(tops.select("rank", "name"), "rank").select(F.col("name").alias("tree"), "root", "path")
-    over = scratch.write(over, "over")
-    proofs = attach(trees, over).select(
-        F.col("tree").alias("_tree"), F.col("lo").alias("_rank"), F.col("top").alias("subroot"),
-        "root", "path")
-    return leaves.join(proofs, leaves["tree"].eqNullSafe(proofs["_tree"])
-                       & (leaves["rank"] == proofs["_rank"])).drop("_tree", "_rank")
+    over = attach(forest, over).select(F.col("name").alias("tree"), "root", "path")
+    return attach(trees, scratch.write(over, "over"))
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
@@ -169,7 +161,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         "path", lambda step: F.concat(step["before"], step["after"])), "")
     folded = fold(F.coalesce("held", "digest"), F.col("path"))
     return proved.select(
-        "doc_id", F.col("tree").alias("source"), F.col("digest").alias("leaf"), "subroot", "root",
+        "doc_id", F.col("tree").alias("source"), F.col("digest").alias("leaf"),
+        F.col("top").alias("subroot"), "root",
         F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root")) \
         .withColumn("verified", F.col("folded_root") == F.col("root"))
 
