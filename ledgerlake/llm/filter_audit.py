@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import ARROW_ROWS, Scratch, bounded_batches, documents, raw_texts
+from .common import Scratch, bounded_batches, documents, raw_texts
 
 FILTERS = "ABCDE"
 E_BIT = 1 << FILTERS.index("E")
@@ -47,8 +47,6 @@ _CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    # a key's first rows are one Arrow batch with those of many other keys
-    "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS),
 }
 
 
@@ -163,6 +161,12 @@ def _settings(spark: SparkSession, wanted: dict):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _pattern(path: str) -> str:
+    """A pattern that matches ``path`` alone: a stream reads folders, or files by a pattern."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, n_batches: int = BATCHES
                 ) -> DataFrame:
     """(part, mask, n, good, toxic): documents by the set of filters that they fail, and how many
@@ -183,7 +187,7 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, n_batches: in
     with _settings(spark, _CONF):
         # files of any age are read; by default those a week older than the newest are not
         rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files) \
-            .option("maxFileAge", "36500d").parquet(path) \
+            .option("maxFileAge", "36500d").parquet(_pattern(path)) \
             .select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.coalesce("source", F.lit("")).alias("part"), "text") \
             .mapInArrow(_judge, _ROWS)
