@@ -18,8 +18,9 @@ columns other than id, text and source are not read.
 Scale: texts are read once and become a digest. A task combines its equal rows before the labels
 are joined, and afterwards hands on each text once, with its smallest id only, since all others
 are known to fail E: a text that a third of the documents share is one row a task. Rows without an
-id are dealt at random to join the labels. State is held by RocksDB on the executors, with its
-change log in the shared checkpoint folder."""
+id are dealt at random to join the labels. A call of the state function costs milliseconds, so
+the texts' states are kept in lots of about ``LOT_TEXTS`` texts by hash, and a call sees one lot.
+State is held by RocksDB on the executors, with its change log in the shared checkpoint folder."""
 
 from __future__ import annotations
 
@@ -38,6 +39,8 @@ FILTERS = "ABCDE"
 E_BIT = 1 << FILTERS.index("E")
 #: The files of a table are dealt to about so many micro-batches.
 BATCHES = 4
+#: Texts whose state is kept together, on average.
+LOT_TEXTS = 2000
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _MARKS = b"#$%&*|"
 _ROWS = "doc_id bigint, part string, key binary, mask int, n bigint"
@@ -120,32 +123,34 @@ def _combine(batches):
     yield from _batches(rows, _LIGHT)
 
 
-def _retract(key, pdfs, state):
-    """Changes of the counters that a batch's rows of one text bring about."""
-    key, rows = key[0], [r for pdf in pdfs for r in zip(
-        pdf["doc_id"], pdf["part"], pdf["mask"], pdf["good"], pdf["toxic"], pdf["n"])]
-    if len(key) != hashlib.sha256().digest_size:
-        changes = [(part, mask, good, toxic, n) for _, part, mask, good, toxic, n in rows]
-        yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "n"])
-        return
-    held = None
-    if state.exists:
-        doc_id, mask, parts, goods, toxics, ns = state.get
-        held = [(doc_id, p, mask, g, t, n) for p, g, t, n in zip(parts, goods, toxics, ns)]
-    every = (held or []) + rows
-    least = min(r[0] for r in every)
-    keep = [r for r in every if r[0] == least]
-    if held is None or len(keep) != len(held) or keep[0][0] != held[0][0]:
-        counts = defaultdict(int)
-        for r in keep:
-            counts[r[1], bool(r[3]), bool(r[4])] += int(r[5])
-        flags = list(counts)
-        state.update((int(least), int(every[0][2]), [f[0] for f in flags], [f[1] for f in flags],
-                      [f[2] for f in flags], [counts[f] for f in flags]))
-    changes = [change for doc_id, part, mask, good, toxic, n in every if doc_id > least
-               for change in ((part, mask, good, toxic, -n), (part, mask | E_BIT, good, toxic, n))]
-    if changes:
-        yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "n"])
+_FLAGS = ["part", "mask", "good", "toxic"]
+
+
+def _retract(n_lots: int):
+    """The state function: changes of the counters that a batch's rows of one lot bring about. The
+    state is the rows of the smallest id of every text of the lot, as an Arrow file."""
+    schema = _LIGHT
+
+    def retract(lot, pdfs, state):
+        rows = pd.concat(list(pdfs), ignore_index=True)
+        if lot[0] >= n_lots:  # counters, for all texts of a task
+            yield rows.groupby(_FLAGS, as_index=False)["n"].sum()
+            return
+        if state.exists:
+            held = pa.ipc.open_stream(state.get[0]).read_pandas()
+            rows = pd.concat([held, rows[held.columns]], ignore_index=True)
+        least = rows.groupby("key")["doc_id"].transform("min")
+        late = rows[rows["doc_id"] > least]
+        held = rows[rows["doc_id"] == least].groupby(["key", "doc_id", *_FLAGS], as_index=False)["n"].sum()
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, schema) as writer:
+            writer.write_table(pa.Table.from_pandas(held[schema.names], schema, preserve_index=False))
+        state.update((out.getvalue().to_pybytes(),))
+        if len(late):
+            back = late.assign(n=-late["n"])
+            anew = late.assign(mask=late["mask"] | E_BIT)
+            yield pd.concat([back, anew]).groupby(_FLAGS, as_index=False)["n"].sum()
+    return retract
 
 
 @contextmanager
@@ -174,6 +179,7 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, n_batches: in
     scratch = Scratch(spark, "filter-audit")
     table = spark.read.parquet(path)
     files = max(1, -(-len(table.inputFiles()) // n_batches))
+    n_lots = max(1, table.count() // LOT_TEXTS)
     known = labels.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")) \
         .withColumn("lot", F.lit(0))
@@ -198,9 +204,11 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, n_batches: in
         labelled = rows.join(known, (rows["doc_id"] == known["id"]) & (rows["lot"] == known["lot"]),
                              "left").select("key", "doc_id", "part", "mask", *[
                                  F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")], "n")
-        changes = labelled.mapInArrow(_combine, _LIGHT_DDL).groupBy("key").applyInPandasWithState(
-            _retract, _CHANGES, "doc_id bigint, mask int, parts array<string>, "
-            "goods array<boolean>, toxics array<boolean>, ns array<bigint>", "update", "NoTimeout")
+        is_text = F.octet_length("key") == hashlib.sha256().digest_size
+        lot = F.when(is_text, F.pmod(F.xxhash64("key"), F.lit(n_lots))) \
+            .otherwise(n_lots + F.pmod(F.xxhash64("key"), F.lit(n_lots)))
+        changes = labelled.mapInArrow(_combine, _LIGHT_DDL).withColumn("lot", lot).groupBy("lot") \
+            .applyInPandasWithState(_retract(n_lots), _CHANGES, "rows binary", "update", "NoTimeout")
         changes.writeStream.outputMode("update").foreachBatch(count) \
             .option("checkpointLocation", scratch.path("checkpoint")) \
             .trigger(availableNow=True).start().awaitTermination()
