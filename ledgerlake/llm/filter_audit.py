@@ -50,6 +50,8 @@ _CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # a store is small, so no disk is reserved for its logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
