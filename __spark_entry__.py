@@ -13,7 +13,7 @@ import importlib.util
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlake.constants import TRANSACTIONS_LENGTHS
 from ledgerlake.functions.risk import risk_tier, signal_columns
@@ -21,6 +21,9 @@ from ledgerlake.operators.constraints import (
     fk_orphans, length_violations, not_null_violations, pk_violations,
 )
 from ledgerlake.operators.evolve import warehouse_transactions
+from ledgerlake.operators.signals import (
+    flag_signals, signal_dead_letter, signal_rule_counts, valid_signals,
+)
 from ledgerlake.operators.validate import (
     anomaly_rows, dead_letter, flag_rows, fraud_ingest_summary, ingest_summary, row_reasons,
     schema_drift, validation_result, valid_rows,
@@ -33,12 +36,13 @@ from ledgerlake.plans.enriched import latest_signal, transactions_enriched
 from ledgerlake.plans.marts import (
     mart_compliance, mart_fraud_detection, mart_transaction_summary,
 )
-from ledgerlake.plans.refresh import incremental_refresh, table_paths
+from ledgerlake.plans.refresh import incremental_refresh, run_pipeline, table_paths
 from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
 from ledgerlake.schemas import RAW_TRANSACTIONS
 from ledgerlake.session import ensure_checkpoint_dir, shared_path
-from ledgerlake.sources.fixtures import raw_inputs, read_table
-from ledgerlake.sources.lake import zone_path
+from ledgerlake.sources.fixtures import raw_inputs, read_table, text_signals_from_events
+from ledgerlake.sources.lake import read_zone, zone_path
+from ledgerlake.streaming.microbatch import apply_batch, ingest_tick, stream_identity
 from ledgerlake.streaming.velocity import read_velocity_log, run_velocity_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -205,20 +209,104 @@ def q_velocity_rolling_1h(spark, sf_dir):
     return comparable(rolling_velocity_1h(_staged(spark, sf_dir)[0]))
 
 
-def q_incremental_refresh(spark, sf_dir):
-    """Three landed batches (transactions by ``id % 3``, their scores one batch later)
-    folded in by the incremental refresh; the summary mart read back must equal the full
-    refresh. Tables go to a fresh folder under the session's shared checkpoint dir."""
+def _refreshed_in_batches(spark, sf_dir) -> str:
+    """A lake under the session's shared folder, refreshed by three landed batches: transactions
+    by ``id % 3``, their scores one batch later."""
     raw_t, raw_f = _raw(spark, sf_dir)
     root = shared_path(spark, "ledgerlake-incremental", uuid.uuid4().hex)
     tid = F.col("transaction_id").cast("long")
     for b in range(3):
         incremental_refresh(spark, raw_t.filter(F.pmod(tid, F.lit(3)) == b),
                             raw_f.filter(F.pmod(tid + 1, F.lit(3)) == b), root)
-    mart = spark.read.parquet(table_paths(root)["mart_transaction_summary"])
-    cols = [c for c in mart_transaction_summary(_enriched(spark, sf_dir)).columns]
-    return comparable(mart.select(*cols).withColumn(
-        "transaction_date", F.col("transaction_date").cast("date")))
+    return root
+
+
+def _read_back(spark, root: str, name: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(table_paths(root)[name]).select(*like.columns)
+
+
+def q_incremental_refresh(spark, sf_dir):
+    """The summary mart after three incremental batches must equal the full refresh."""
+    root = _refreshed_in_batches(spark, sf_dir)
+    like = mart_transaction_summary(_enriched(spark, sf_dir))
+    return comparable(_read_back(spark, root, "mart_transaction_summary", like))
+
+
+def q_incremental_refresh_all(spark, sf_dir):
+    """All four written models after three incremental batches, each equal to its full twin."""
+    root, enriched = _refreshed_in_batches(spark, sf_dir), _enriched(spark, sf_dir)
+    out = None
+    for name, like in {
+            "int_transactions_enriched": enriched, "mart_compliance": mart_compliance(enriched),
+            "mart_transaction_summary": mart_transaction_summary(enriched),
+            "mart_fraud_detection": mart_fraud_detection(enriched)}.items():
+        rows = comparable(_read_back(spark, root, name, like)) \
+            .select(F.lit(name).alias("table_name"), "*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def _land_by_id(raw: DataFrame, landing: str, files: int = 3) -> None:
+    for b in range(files):
+        raw.filter(F.pmod(F.col("transaction_id").cast("long"), F.lit(files)) == b) \
+            .coalesce(1).write.mode("append").parquet(landing)
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Transactions and scores ingested by micro-batches of one landed file, after which every
+    micro-batch of transactions is offered again on another date: the raw zone and the dead letter
+    hold each row once."""
+    raw_t, raw_f = _raw(spark, sf_dir)
+    base = shared_path(spark, "ledgerlake-ingest", uuid.uuid4().hex)
+    _land_by_id(raw_t, f"{base}/landing/t")
+    raw_f.write.parquet(f"{base}/landing/f")
+    ingest_tick(spark, f"{base}/landing/t", f"{base}/landing/f", f"{base}/lake", f"{base}/checkpoint",
+                max_files_per_trigger=1)
+    stream = stream_identity(spark, f"{base}/checkpoint/transactions")
+    for b in range(3):
+        apply_batch(spark, f"{base}/lake", f"txn-{stream}-{b}", transactions=raw_t,
+                    run_date="2024-01-09")
+    fields = RAW_TRANSACTIONS.fieldNames()
+    raw = read_zone(spark, f"{base}/lake", "transactions", RAW_TRANSACTIONS).select(
+        F.lit("raw").alias("zone"), *fields)
+    dead = read_zone(spark, f"{base}/lake", "transactions_dead_letter", T.StructType(
+        RAW_TRANSACTIONS.fields + [T.StructField("reject_reasons", T.ArrayType(T.StringType()))])) \
+        .select(F.lit("dead_letter").alias("zone"), *fields, "reject_reasons")
+    return comparable(raw.unionByName(dead, allowMissingColumns=True))
+
+
+def _flagged_text_signals(spark, sf_dir):
+    feed = text_signals_from_events(read_table(spark, sf_dir, "events"))
+    return flag_signals(feed, F.lit(RUN_DATE).cast("date"))
+
+
+def q_signal_dead_letter(spark, sf_dir):
+    return comparable(signal_dead_letter(_flagged_text_signals(spark, sf_dir))
+                      .withColumn("fraud_reasons", F.lit("")))
+
+
+def q_valid_signals(spark, sf_dir):
+    return comparable(valid_signals(_flagged_text_signals(spark, sf_dir))
+                      .withColumn("fraud_reasons", F.lit("")))
+
+
+def q_signal_rule_counts(spark, sf_dir):
+    return comparable(signal_rule_counts(_flagged_text_signals(spark, sf_dir)))
+
+
+def q_pipeline_audit(spark, sf_dir):
+    """The run audit of three batches by ``id % 3``; the last comes without the amounts."""
+    raw_t, raw_f = _raw(spark, sf_dir)
+    root = shared_path(spark, "ledgerlake-audit", uuid.uuid4().hex)
+    third = F.pmod(F.col("transaction_id").cast("long"), F.lit(3))
+    out = None
+    for b in range(3):
+        batch = raw_t.filter(third == b)
+        row = run_pipeline(spark, batch.drop("amount") if b == 2 else batch,
+                           raw_f.filter(third == b), root, RUN_DATE)
+        out = row if out is None else out.unionByName(row)
+    return comparable(out.select("pipeline_name", "partition_date", "status", "rows_ingested",
+                                 "rows_failed", "error_message", "fraud_flagged"))
 
 
 def _land_by_day(spark, df: DataFrame, landing: str) -> None:
@@ -288,6 +376,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "data_tests_report": q_data_tests_report,
         "velocity_rolling_1h": q_velocity_rolling_1h,
         "incremental_refresh": q_incremental_refresh,
+        "incremental_refresh_all": q_incremental_refresh_all,
+        "stream_ingest": q_stream_ingest,
+        "signal_dead_letter": q_signal_dead_letter,
+        "valid_signals": q_valid_signals,
+        "signal_rule_counts": q_signal_rule_counts,
+        "pipeline_audit": q_pipeline_audit,
         "stream_velocity": q_stream_velocity,
     }
 

@@ -42,10 +42,11 @@ def lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "
     return big_s.join(lookup_s, on=keys + ["_salt"], how=how).drop("_salt")
 
 
-def fanout_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int | None = None,
-                salt_cols: list[str] | None = None) -> DataFrame:
+def fanout_join(left: DataFrame, right: DataFrame, key: str | list[str],
+                hot_rows: int | None = None, salt_cols: list[str] | None = None) -> DataFrame:
     """LEFT JOIN where the *right* side may hold very many rows for one key (e.g. a
     transaction scored over and over), so the hot key cannot be split on the preserved side.
+    ``key`` is a column or several.
 
     Keys with more than ``hot_rows`` rows on the right are found by an exact count, combined
     map-side (at most right rows / hot_rows keys, broadcast). Their right rows take a salt from
@@ -54,41 +55,43 @@ def fanout_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int | Non
     hot key has right rows, so each left row keeps exactly its matches - the same rows as the
     plain LEFT JOIN.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if hot_rows is None:
-        return left.join(right, on=key, how="left")
-    counted = right.filter(F.col(key).isNotNull()).groupBy(key) \
+        return left.join(right, on=keys, how="left")
+    counted = right.dropna(subset=keys).groupBy(*keys) \
         .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     hot = F.broadcast(counted.select(
-        key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
-    left_s = left.join(hot, on=key, how="left").select(
-        key, *[c for c in left.columns if c != key],
+        *keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")))
+    left_s = left.join(hot, on=keys, how="left").select(
+        *keys, *[c for c in left.columns if c not in keys],
         F.col("_salts").isNotNull().alias("_hot"),
         F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(0)))
                   .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))).alias("_salt"))
     salt_src = F.xxhash64(*[F.col(c) for c in (salt_cols or right.columns)],
                           F.spark_partition_id())
-    right_s = right.join(hot, on=key, how="left").select(
-        key, *[c for c in right.columns if c != key],
+    right_s = right.join(hot, on=keys, how="left").select(
+        *keys, *[c for c in right.columns if c not in keys],
         F.when(F.col("_salts").isNull(), F.lit(0))
          .otherwise(F.pmod(salt_src, F.col("_salts")).cast("int")).alias("_salt"),
         F.lit(True).alias("_matched"))
-    joined = left_s.join(right_s, on=[key, "_salt"], how="left")
+    joined = left_s.join(right_s, on=[*keys, "_salt"], how="left")
     return (joined.filter(~F.col("_hot") | F.col("_matched").isNotNull())
             .drop("_salt", "_hot", "_matched"))
 
 
-def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """One row per ``key``: the row with the largest ``order_cols`` (then the largest
+def latest_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
+    """One row per ``key`` (a column or several): the row with the largest ``order_cols`` (then the largest
     remaining columns, so ties resolve deterministically).
 
     Written as a grouped ``max`` over a struct rather than ``row_number()``: the aggregate
     has a partial phase, so a key with very many rows is reduced before the shuffle and no
     single task has to hold or sort a whole group.
     """
-    rest = [c for c in df.columns if c != key and c not in order_cols]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
     packed = F.struct(*[F.col(c) for c in order_cols + rest]).alias("_best")
-    best = df.groupBy(key).agg(F.max(packed).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c != key]) \
+    best = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c not in keys]) \
         .select(*df.columns)
 
 

@@ -28,6 +28,9 @@ class Params:
     # Skew handling: a join key with more rows than this is split over ceil(n / hot_key_rows)
     # partitions; the broadcast list of such keys has at most (rows / hot_key_rows) entries.
     hot_key_rows: int | None = 1_000_000
+    # Folders that the index of transaction ids is dealt to; fixed for the life of a lake. A
+    # batch opens those of its own ids, so a large lake wants thousands.
+    index_buckets: int = 16
 
 
 DEFAULT = Params()

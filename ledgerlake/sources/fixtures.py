@@ -123,6 +123,27 @@ def raw_fraud_signals_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def text_signals_from_events(events: DataFrame) -> DataFrame:
+    """The same scores as a feed of text, with ids, scores, flags and times that are missing or do
+    not convert (by modulo rules, one in some fifty to eighty each)."""
+    scored = raw_fraud_signals_from_events(events).withColumn(
+        "k", F.col("transaction_id").cast("bigint"))
+
+    def mod(n: int) -> Column:
+        return F.col("k") % n == 0
+    digits = F.lpad(F.round(F.col("fraud_score") * 10000).cast("bigint").cast("string"), 4, "0")
+    null = F.lit(None).cast("string")
+    return scored.select(
+        F.when(~mod(79), F.col("transaction_id")).alias("transaction_id"),
+        F.when(mod(53), F.lit("n/a")).when(mod(59), F.lit("123.0")).when(mod(61), null)
+         .when(mod(67), F.lit("NaN")).otherwise(F.concat(F.lit("0."), digits)).alias("fraud_score"),
+        F.when(mod(83), F.lit("maybe")).otherwise(F.col("is_flagged").cast("string"))
+         .alias("is_flagged"),
+        F.when(mod(71), F.lit("yesterday")).when(mod(73), null).otherwise(F.col("scored_at"))
+         .alias("scored_at"),
+        "model_version")
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     events = read_table(spark, sf_dir, "events")
     return raw_transactions_from_events(events), raw_fraud_signals_from_events(events)

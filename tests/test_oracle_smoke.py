@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB twin on the smallest tables."""
 
+import importlib.util
 import os
 
 import duckdb
@@ -12,6 +13,14 @@ from tools.check_oracle import TABLES, digest
 SKIP = {"incremental_refresh", "stream_velocity"}   # covered by test_refresh / test_streaming
 
 
+def without_sql():
+    """The training-data queries that SQL cannot express; their own tests hold them."""
+    if importlib.util.find_spec("ledgerlake.llm") is None:
+        return set()
+    from ledgerlake.llm.queries import ORACLE_SQL, QUERIES
+    return (set(QUERIES) | {"pipeline"}) - set(ORACLE_SQL)
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -23,10 +32,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.queries()) - without_sql() == set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SKIP))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMOKE)
     rel = con.sql(E.oracle_sql()[name])

@@ -80,7 +80,7 @@ def test_runs_without_valid_rows(spark, scratch):
         run_pipeline(spark, raw_txn_df(spark, []), f, f"{scratch}/a", "2025-05-16")
     missing = raw_txn_df(spark, [txn("x")]).drop("amount")
     row = run_pipeline(spark, missing, f, f"{scratch}/b", "2025-05-16").collect()[0]
-    assert row["status"] == "success" and row["rows_ingested"] == 0
+    assert row["status"] == "failed" and row["rows_ingested"] == 0
     bad = raw_txn_df(spark, [txn("x", amount=-5.0)])
     row = run_pipeline(spark, bad, f, f"{scratch}/c", "2025-05-16").collect()[0]
     assert row["rows_ingested"] == 0 and row["rows_failed"] == 1
