@@ -20,7 +20,8 @@ from ledgerlake.functions.risk import risk_tier, signal_columns
 from ledgerlake.operators.constraints import (
     fk_orphans, length_violations, not_null_violations, pk_violations,
 )
-from ledgerlake.operators.evolve import warehouse_transactions
+from ledgerlake.operators.dimensions import normalise_to_usd, with_accounts
+from ledgerlake.operators.evolve import table_schema, warehouse_transactions
 from ledgerlake.operators.signals import (
     flag_signals, signal_dead_letter, signal_rule_counts, valid_signals,
 )
@@ -30,6 +31,7 @@ from ledgerlake.operators.validate import (
 )
 from ledgerlake.operators.velocity import hourly_velocity, rolling_velocity_1h
 from ledgerlake.oracle import oracle_sql as _oracle_sql
+from ledgerlake.plans.commit import BatchRun
 from ledgerlake.plans.compare import comparable
 from ledgerlake.plans.data_tests import accepted_values_tests, data_tests_report
 from ledgerlake.plans.enriched import latest_signal, transactions_enriched
@@ -38,10 +40,13 @@ from ledgerlake.plans.marts import (
 )
 from ledgerlake.plans.refresh import incremental_refresh, run_pipeline, table_paths
 from ledgerlake.plans.staging import stg_fraud_signals, stg_transactions
-from ledgerlake.schemas import RAW_TRANSACTIONS
+from ledgerlake.plans.warehouse import fraud_signals_path, load_fraud_signals
+from ledgerlake.schemas import RAW_FRAUD_SIGNALS, RAW_TRANSACTIONS
 from ledgerlake.session import ensure_checkpoint_dir, shared_path
-from ledgerlake.sources.fixtures import raw_inputs, read_table, text_signals_from_events
-from ledgerlake.sources.lake import read_zone, zone_path
+from ledgerlake.sources.fixtures import (
+    accounts_from_customer, fx_rates_from_nation, raw_inputs, read_table, text_signals_from_events,
+)
+from ledgerlake.sources.lake import read_csv_zone, read_zone, upload_dataframe, zone_path
 from ledgerlake.streaming.microbatch import apply_batch, ingest_tick, stream_identity
 from ledgerlake.streaming.velocity import read_velocity_log, run_velocity_stream
 
@@ -329,6 +334,55 @@ def q_stream_velocity(spark, sf_dir):
     return comparable(read_velocity_log(spark, f"{base}/log", sid))
 
 
+def q_warehouse_fraud_signals(spark, sf_dir):
+    """The warehouse's signal table loaded by two runs (scores of even and of odd transactions):
+    dense ids that go on from the stored maximum."""
+    stg_f = _staged(spark, sf_dir)[1]
+    root = shared_path(spark, "ledgerlake-warehouse", uuid.uuid4().hex)
+    odd = F.pmod(F.col("transaction_id").cast("long"), F.lit(2))
+    for b in range(2):
+        run = BatchRun(spark, root, f"load-{b}")
+        load_fraud_signals(run, stg_f.filter(odd == b))
+        run.commit()
+    schema = table_schema("fraud_signals")
+    return comparable(spark.read.schema(schema).parquet(fraud_signals_path(root))
+                      .select(*schema.fieldNames()))
+
+
+def q_lake_roundtrip(spark, sf_dir):
+    """Scores landed on two dates as Parquet and as CSV, and one date read back from each."""
+    raw_f = _raw(spark, sf_dir)[1]
+    root = shared_path(spark, "ledgerlake-roundtrip", uuid.uuid4().hex)
+    odd = F.pmod(F.col("transaction_id").cast("long"), F.lit(2))
+    for b, day in enumerate(("2024-01-02", RUN_DATE)):
+        for kind in ("parquet", "csv"):
+            upload_dataframe(raw_f.filter(odd == b), root, f"fraud_signals_{kind}", "raw", day, kind)
+    fields = RAW_FRAUD_SIGNALS.fieldNames()
+    parquet = read_zone(spark, root, "fraud_signals_parquet", RAW_FRAUD_SIGNALS, partition_date=RUN_DATE)
+    csv = read_csv_zone(spark, root, "fraud_signals_csv", RAW_FRAUD_SIGNALS, dates=(RUN_DATE, RUN_DATE))
+    out = parquet.select(F.lit("parquet").alias("format"), *fields, F.lit(False).alias("malformed"),
+                         "year", "month", "day")
+    return comparable(out.unionByName(csv.select(
+        F.lit("csv").alias("format"), *fields, F.col("_malformed").isNotNull().alias("malformed"),
+        "year", "month", "day")))
+
+
+def q_fx_normalised(spark, sf_dir):
+    """Amounts in USD by the last rate known on the day; the rates, with gaps, are made by rule
+    from ``nation``."""
+    rates = fx_rates_from_nation(read_table(spark, sf_dir, "nation", spread=False))
+    out = normalise_to_usd(_staged(spark, sf_dir)[0], rates)
+    return comparable(out.select("transaction_id", "currency_code", "transaction_date", "amount_usd",
+                                 "fx_rate", "fx_date", "amount_usd_converted"))
+
+
+def q_accounts_joined(spark, sf_dir):
+    """Transactions with the latest attributes of their accounts, which are made from ``customer``."""
+    accounts = accounts_from_customer(read_table(spark, sf_dir, "customer"))
+    out = with_accounts(_staged(spark, sf_dir)[0], accounts, ["segment", "nation"], "version")
+    return comparable(out.select("transaction_id", "account_id", "amount_usd", "segment", "nation"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the hourly KPI mart over the sf0.001 tables."""
     return q_mart_transaction_summary(spark, SMOKE_DIR)
@@ -382,6 +436,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "valid_signals": q_valid_signals,
         "signal_rule_counts": q_signal_rule_counts,
         "pipeline_audit": q_pipeline_audit,
+        "warehouse_fraud_signals": q_warehouse_fraud_signals,
+        "lake_roundtrip": q_lake_roundtrip,
+        "fx_normalised": q_fx_normalised,
+        "accounts_joined": q_accounts_joined,
         "stream_velocity": q_stream_velocity,
     }
 

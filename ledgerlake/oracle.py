@@ -567,6 +567,31 @@ WINDOW w AS (PARTITION BY account_id ORDER BY epoch_us(transaction_at)
 UNION ALL
 SELECT transaction_id, account_id, transaction_at, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE)
 FROM stg_transactions WHERE transaction_at IS NULL""")
+    q["warehouse_fraud_signals"] = with_ctes(["stg_fraud_signals"], """
+SELECT row_number() OVER (ORDER BY transaction_id::BIGINT % 2, transaction_id, scored_at,
+    model_version, fraud_score, is_flagged) AS id, transaction_id, fraud_score::DOUBLE AS fraud_score,
+  is_flagged, risk_tier, array_to_string(fraud_reasons, '|') AS fraud_reasons, model_version, scored_at
+FROM stg_fraud_signals""")
+    q["lake_roundtrip"] = with_ctes(["raw_fraud_signals"], f"""
+SELECT format, transaction_id, fraud_score, is_flagged, array_to_string(fraud_reasons, '|')
+  AS fraud_reasons, model_version, scored_at, false AS malformed, '{RUN_DATE[:4]}' AS year,
+  '{RUN_DATE[5:7]}' AS month, '{RUN_DATE[8:]}' AS day
+FROM raw_fraud_signals, (VALUES ('parquet'), ('csv')) AS formats(format)
+WHERE transaction_id::BIGINT % 2 = 1""")
+    q["fx_normalised"] = with_ctes(["stg_transactions"], """
+SELECT transaction_id, t.currency_code, transaction_date, amount_usd::DOUBLE AS amount_usd,
+  if(base, 1, rate)::DOUBLE AS fx_rate, if(base, transaction_date, rate_date) AS fx_date,
+  round(amount_usd * if(base, 1, rate)::DECIMAL(18,8), 2)::DOUBLE AS amount_usd_converted
+FROM (SELECT *, currency_code IS NOT DISTINCT FROM 'USD' AS base FROM stg_transactions) AS t
+ASOF LEFT JOIN (
+  SELECT ['EUR', 'GBP', 'BRL'][n_nationkey % 3 + 1] AS currency_code,
+    DATE '2023-12-25' + n_nationkey AS rate_date, ((100 + n_nationkey) / 100)::DECIMAL(18,8) AS rate
+  FROM nation) AS r ON t.currency_code = r.currency_code AND t.transaction_date >= r.rate_date""")
+    q["accounts_joined"] = with_ctes(["stg_transactions"], """
+SELECT transaction_id, account_id, amount_usd::DOUBLE AS amount_usd, c_mktsegment AS segment,
+  c_nationkey AS nation
+FROM stg_transactions LEFT JOIN customer
+  ON account_id = if(c_custkey = 0, 'ACC_HOT', 'ACC_' || c_custkey)""")
     whole = {"int_transactions_enriched": "txn_enriched", "mart_compliance": "mart_compliance",
              "mart_transaction_summary": "mart_transaction_summary",
              "mart_fraud_detection": "mart_fraud_detection"}

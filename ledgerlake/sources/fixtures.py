@@ -27,12 +27,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-        except Exception:  # e.g. a client session without the RDD API
-            return df
-        if splits < cores:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:  # plans the scan; runs no job
             # Round-robin references no column, so column pruning still reaches the scan
             # (a hash on the row's columns would force every column to be read); Spark sorts
             # before a round-robin shuffle, so a retried task produces the same split.
@@ -144,6 +140,29 @@ def text_signals_from_events(events: DataFrame) -> DataFrame:
         "model_version")
 
 
+def fx_rates_from_nation(nation: DataFrame) -> DataFrame:
+    """One rate per nation: currencies in turn, a day each from 2023-12-25 on, so that a currency
+    has a rate on every third day."""
+    k = F.col("n_nationkey")
+    codes = F.array(*[F.lit(c) for c in ("EUR", "GBP", "BRL")])
+    return nation.select(
+        F.element_at(codes, (F.pmod(k, F.lit(3)) + 1).cast("int")).alias("currency_code"),
+        F.date_add(F.lit("2023-12-25").cast("date"), k.cast("int")).alias("rate_date"),
+        ((100 + k).cast("decimal(18,8)") / 100).cast("decimal(18,8)").alias("usd_per_unit"))
+
+
+def accounts_from_customer(customer: DataFrame) -> DataFrame:
+    """Two versions of every customer's account; customer 0 holds the busy account."""
+    k = F.col("c_custkey").cast("string")
+    return customer.select(
+        F.when(F.col("c_custkey") == 0, F.lit("ACC_HOT")).otherwise(F.concat(F.lit("ACC_"), k))
+         .alias("account_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("version"),
+        "c_mktsegment", "c_nationkey").select(
+        "account_id", "version",
+        F.when(F.col("version") == 2, F.col("c_mktsegment")).otherwise(F.lit("NEW")).alias("segment"),
+        F.col("c_nationkey").cast("int").alias("nation"))
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     events = read_table(spark, sf_dir, "events")
     return raw_transactions_from_events(events), raw_fraud_signals_from_events(events)

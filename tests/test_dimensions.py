@@ -2,8 +2,10 @@ import datetime as dt
 from decimal import Decimal
 
 from ledgerlake.operators.dimensions import normalise_to_usd, with_accounts
+from ledgerlake.params import Params
 from ledgerlake.plans.staging import stg_transactions
 from tests.helpers import raw_txn_df, txn
+from tests.test_skew import no_broadcast
 
 
 def _stg(spark):
@@ -21,14 +23,36 @@ def _rates(spark):
         "currency_code string, rate_date date, usd_per_unit decimal(18,8)")
 
 
+def _check(rows):
+    out = {r["transaction_id"]: r for r in rows}
+    assert out["u"]["amount_usd_converted"] == Decimal("10.00")
+    assert out["e"]["amount_usd_converted"] == Decimal("10.85")
+    assert out["g"]["amount_usd_converted"] == Decimal("3.78")
+    assert out["j"]["amount_usd_converted"] is None and len(out) == 4
+
+
 def test_fx_normalisation_broadcast_and_shuffle_agree(spark):
-    for cap in (10, 0):          # 0 forces the shuffle-join path
-        out = {r["transaction_id"]: r for r in
-               normalise_to_usd(_stg(spark), _rates(spark), max_broadcast_rows=cap).collect()}
-        assert out["u"]["amount_usd_converted"] == Decimal("10.00")
-        assert out["e"]["amount_usd_converted"] == Decimal("10.85")
-        assert out["g"]["amount_usd_converted"] == Decimal("3.78")
-        assert out["j"]["amount_usd_converted"] is None and len(out) == 4
+    _check(normalise_to_usd(_stg(spark), _rates(spark)).collect())
+    with no_broadcast(spark):
+        _check(normalise_to_usd(_stg(spark), _rates(spark), params=Params(hot_key_rows=1)).collect())
+
+
+def test_fx_takes_the_last_rate_known_on_the_day(spark):
+    def day(d):
+        return f"2025-05-{d:02d}T01:00:00"
+    stg = stg_transactions(raw_txn_df(spark, [
+        txn("before", currency="EUR", timestamp=day(1)), txn("on", currency="EUR", timestamp=day(3)),
+        txn("gap", currency="EUR", timestamp=day(9)), txn("next", currency="EUR", timestamp=day(10)),
+        txn("nowhen", currency="EUR", timestamp=None), txn("nocur", currency=None),
+        txn("nowhen usd", currency="USD", timestamp=None)]))
+    rates = spark.createDataFrame(
+        [("eur ", dt.date(2025, 5, 3), Decimal(2)), ("EUR", dt.date(2025, 5, 10), Decimal(3)),
+         ("EUR", dt.date(2025, 5, 10), None), ("EUR", None, Decimal(9)), (None, dt.date(2025, 5, 1), Decimal(7))],
+        "currency_code string, rate_date date, usd_per_unit decimal(18,8)")
+    got = {r["transaction_id"]: (r["fx_rate"], r["fx_date"] and r["fx_date"].day)
+           for r in normalise_to_usd(stg, rates).collect()}
+    assert got == {"before": (None, None), "on": (2, 3), "gap": (2, 3), "next": (3, 10),
+                   "nowhen": (None, None), "nocur": (None, None), "nowhen usd": (1, None)}
 
 
 def test_account_attributes(spark):

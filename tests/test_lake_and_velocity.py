@@ -46,6 +46,27 @@ def test_csv_sink_flattens_arrays(spark, scratch):
     assert back["fraud_reasons"] == "a|b"
 
 
+def test_csv_read_back_with_malformed_lines(spark, scratch):
+    from ledgerlake.schemas import RAW_FRAUD_SIGNALS
+    from ledgerlake.sources.lake import read_csv_zone
+    from tests.helpers import raw_sig_df, sig
+    rows = [sig("a", 0.25, fraud_reasons=["x", "y"]), sig("b", 0.5), sig('q"u,o\'te', 0.75)]
+    for day in ("2025-01-02", "2025-01-03"):
+        upload_dataframe(raw_sig_df(spark, rows).coalesce(1), scratch, "fraud_signals", "raw", day, "csv")
+    folder = os.path.join(scratch, zone_path("raw", "fraud_signals", "2025-01-03"))
+    with open(os.path.join(folder, "part-late.csv"), "w") as f:
+        f.write("transaction_id,fraud_score,is_flagged,fraud_reasons,model_version,scored_at\n"
+                "c,much,true,,v,2025-01-03\n")
+    got = read_csv_zone(spark, scratch, "fraud_signals", RAW_FRAUD_SIGNALS,
+                        dates=("2025-01-03", "2025-01-03"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1]
+    out = {r["transaction_id"]: r for r in got.collect()}
+    assert len(out) == 4 and out["a"]["fraud_reasons"] == ["x", "y"] and out["b"]["fraud_reasons"] == []
+    assert out['q"u,o\'te']["fraud_score"] == 0.75 and out["a"]["_malformed"] is None
+    assert out["c"]["_malformed"] == "c,much,true,,v,2025-01-03" and out["c"]["fraud_score"] is None
+
+
 def test_fetch_window_half_open(spark):
     df = raw_txn_df(spark, [txn("a", timestamp="2025-01-01T10:00:00"),
                             txn("b", timestamp="2025-01-01T10:14:59"),
@@ -107,6 +128,14 @@ def test_rolling_velocity_random_against_brute_force(spark):
             assert abs(float(got[tid][1]) - sum(win)) < 1e-6, (sub, tid)
 
 
+def test_rolling_velocity_windows_never_span_an_account(spark):
+    import re
+    stg = stg_transactions(raw_txn_df(spark, [txn("a"), txn("b")]))
+    plan = rolling_velocity_1h(stg)._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\]", plan)
+    assert windows and all(re.match(r"account_id#\d+, (_hour|_bucket)#\d+", w) for w in windows)
+
+
 def test_fetch_window_default_last_15_minutes(spark):
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [txn("old", timestamp=(now - dt.timedelta(minutes=30)).isoformat()),
