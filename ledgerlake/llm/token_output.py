@@ -9,9 +9,10 @@ copy. ``start`` of a document counts the ids of all documents before it in the w
 
 Encoding: the tokenizer drops white space and never joins a letter or digit with the
 punctuation beside it (contractions aside), so a text is encoded piece by piece and every
-distinct piece only once per worker. Texts for which that is not certain (not in NFC, rare
-white space, special tokens, letters whose lower case depends on their place) are encoded whole,
-and so are words with unassigned characters and pieces with numerals that are no decimal digits.
+distinct piece only once per worker, as long as it is kept. Texts for which that is not certain
+(not in NFC, rare white space, special tokens, unassigned characters, letters whose lower case
+depends on their place) are encoded whole, and so are pieces with numerals that are no decimal
+digits.
 
 Defined cases: a null text counts as empty (only the end id); null doc_ids come first; rows with
 the same doc_id are ordered by text; empty tables write no file; other columns are not read.
@@ -27,6 +28,7 @@ import sys
 import types
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,9 +41,8 @@ from .common import Scratch, bounded_batches, columns, documents
 
 SEQ_LEN = 2048
 END_ID = 1
-#: Distinct pieces in one generation of those that a worker keeps encoded; it keeps two, and
-#: half as many words between spaces, which are one piece or several.
-CACHE_PIECES = 200_000
+#: Distinct pieces in one generation of those that a worker keeps encoded; it keeps two.
+CACHE_PIECES = 250_000
 _BATCH_SEQS = 512
 _PIECE = re.compile(r"(?:[^\w\s]|_)*'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+")
 _WHOLE = re.compile(r"[^\S \t\n\r\x0b\x0c]|<\||[Σİ\x1c-\x1f]")
@@ -80,7 +81,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.units, self.pieces = _Store(cache_pieces // 2), _Store(cache_pieces)
+        self.pieces = _Store(cache_pieces)
+        # unassigned here, but the tokenizer may know a newer Unicode
+        unknown = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Cn"]
+        self.unassigned = re.compile(f"[{''.join(unknown)}]")
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         self.byte_chars = {b: chr(b) for b in printable} | \
@@ -94,28 +98,17 @@ class PieceEncoder:
                 found = [t.id for t in self.tokenizer.model.tokenize(mapped)]
             else:
                 found = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            ids = np.array(found, np.uint32).tobytes()
+            ids = array("I", found).tobytes()
             self.pieces.put(piece, ids)
         return ids
 
-    def _unit(self, unit: str) -> bytes:
-        ids = self.units.get(unit)
-        if ids is None:
-            if not unit.isascii() and any(unicodedata.category(c) == "Cn" for c in unit):
-                # unassigned here, but the tokenizer may know a newer Unicode
-                ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids,
-                               np.uint32).tobytes()
-            else:
-                ids = b"".join([self._piece(p) for p in _PIECE.findall(unit)])
-            self.units.put(unit, ids)
-        return ids
-
     def __call__(self, text: str) -> np.ndarray:
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text) or \
-                _WHOLE.search(text):
+        if _WHOLE.search(text) or not text.isascii() and (
+                self.unassigned.search(text) or not unicodedata.is_normalized("NFC", text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        units, known, make = text.lower().split(), self.units.new.get, self._unit
-        return np.frombuffer(b"".join([known(u) or make(u) for u in units]), np.uint32)
+        known, make = self.pieces.new.get, self._piece
+        return np.frombuffer(b"".join([known(p) or make(p) for p in _PIECE.findall(text.lower())]),
+                             np.uint32)
 
 
 def worker_encoder(path: str) -> PieceEncoder:
