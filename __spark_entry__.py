@@ -21,6 +21,7 @@ from ledgerlake.operators.constraints import (
     fk_orphans, length_violations, not_null_violations, pk_violations,
 )
 from ledgerlake.operators.dimensions import normalise_to_usd, with_accounts
+from ledgerlake.operators.drift import schema_drift_files
 from ledgerlake.operators.evolve import table_schema, warehouse_transactions
 from ledgerlake.operators.signals import (
     flag_signals, signal_dead_letter, signal_rule_counts, valid_signals,
@@ -367,6 +368,24 @@ def q_lake_roundtrip(spark, sf_dir):
         "year", "month", "day")))
 
 
+def q_schema_drift_files(spark, sf_dir):
+    """Drift of landed files, from their footers. Four batches by ``id % 4``: the first and the
+    third as declared, the second (same day as the third) without ``channel`` and with a column
+    more, the fourth with amounts as text, some of which are no numbers."""
+    raw_t = _raw_txn(spark, sf_dir)
+    root = shared_path(spark, "ledgerlake-drift", uuid.uuid4().hex)
+    k = F.col("transaction_id").cast("long")
+    text = F.when(F.pmod(k, F.lit(53)) == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    shapes = [("2024-01-01", lambda df: df),
+              ("2024-01-02", lambda df: df.drop("channel").withColumn("promo_code", F.lit("NEW"))),
+              ("2024-01-02", lambda df: df),
+              (RUN_DATE, lambda df: df.withColumn("amount", text))]
+    for b, (day, shape) in enumerate(shapes):
+        upload_dataframe(shape(raw_t.filter(F.pmod(k, F.lit(4)) == b)), root, "transactions", "raw", day)
+    out = schema_drift_files(spark, f"{root}/{zone_path('raw', 'transactions')}", RAW_TRANSACTIONS)
+    return comparable(out.drop("n_files"))  # Spark decides how many files a batch has
+
+
 def q_fx_normalised(spark, sf_dir):
     """Amounts in USD by the last rate known on the day; the rates, with gaps, are made by rule
     from ``nation``."""
@@ -438,6 +457,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_audit": q_pipeline_audit,
         "warehouse_fraud_signals": q_warehouse_fraud_signals,
         "lake_roundtrip": q_lake_roundtrip,
+        "schema_drift_files": q_schema_drift_files,
         "fx_normalised": q_fx_normalised,
         "accounts_joined": q_accounts_joined,
         "stream_velocity": q_stream_velocity,

@@ -578,6 +578,26 @@ SELECT format, transaction_id, fraud_score, is_flagged, array_to_string(fraud_re
   '{RUN_DATE[5:7]}' AS month, '{RUN_DATE[8:]}' AS day
 FROM raw_fraud_signals, (VALUES ('parquet'), ('csv')) AS formats(format)
 WHERE transaction_id::BIGINT % 2 = 1""")
+    q["schema_drift_files"] = with_ctes(["raw_transactions"], """
+SELECT run_date, column_name,
+  CASE WHEN batch = 1 AND column_name = 'channel' THEN 'missing'
+       WHEN column_name = 'promo_code' THEN 'extra'
+       WHEN batch = 3 AND column_name = 'amount' THEN 'type_changed' ELSE 'ok' END AS issue,
+  CASE column_name WHEN 'promo_code' THEN NULL WHEN 'amount' THEN 'double' ELSE 'string' END
+    AS expected_type,
+  CASE WHEN batch = 1 AND column_name = 'channel' THEN NULL
+       WHEN batch <> 3 AND column_name = 'amount' THEN 'double' ELSE 'string' END AS landed_type,
+  sum(n)::BIGINT AS n_rows,
+  sum(if(batch = 3 AND column_name = 'amount', n_bad, 0))::BIGINT AS bad_values
+FROM (SELECT transaction_id::BIGINT % 4 AS batch, count(*) AS n,
+        count_if(transaction_id::BIGINT % 53 = 0) AS n_bad FROM raw_transactions GROUP BY 1) AS b
+JOIN (VALUES (0, '2024-01-01'), (1, '2024-01-02'), (2, '2024-01-02'), (3, '2024-01-03'))
+  AS days(batch, run_date) USING (batch)
+JOIN (SELECT unnest(['transaction_id', 'account_id', 'amount', 'currency', 'transaction_type',
+        'merchant_id', 'timestamp', 'status', 'region', 'channel', 'ip_address', 'device_id',
+        'ingested_at', 'promo_code']) AS column_name) AS c
+  ON column_name <> 'promo_code' OR batch = 1
+GROUP BY ALL""")
     q["fx_normalised"] = with_ctes(["stg_transactions"], """
 SELECT transaction_id, t.currency_code, transaction_date, amount_usd::DOUBLE AS amount_usd,
   if(base, 1, rate)::DOUBLE AS fx_rate, if(base, transaction_date, rate_date) AS fx_date,
