@@ -82,9 +82,6 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = _Store(cache_pieces)
-        # unassigned here, but the tokenizer may know a newer Unicode
-        unknown = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Cn"]
-        self.unassigned = re.compile(f"[{''.join(unknown)}]")
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         self.byte_chars = {b: chr(b) for b in printable} | \
@@ -103,8 +100,10 @@ class PieceEncoder:
         return ids
 
     def __call__(self, text: str) -> np.ndarray:
+        # a character unassigned here may be known to the tokenizer's newer Unicode
         if _WHOLE.search(text) or not text.isascii() and (
-                self.unassigned.search(text) or not unicodedata.is_normalized("NFC", text)):
+                not unicodedata.is_normalized("NFC", text)
+                or any(unicodedata.category(c) == "Cn" for c in set(text))):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         known, make = self.pieces.new.get, self._piece
         return np.frombuffer(b"".join([known(p) or make(p) for p in _PIECE.findall(text.lower())]),
