@@ -1,6 +1,7 @@
 """Token ids as Arrow files: fixed-size-list batches of equal-length sequences and masks.
 
-Documents are range-partitioned by doc_id and encoded where they land. Each partition writes
+Documents are range-partitioned by doc_id (and the begin of the text, which parts rows of one
+doc_id) and encoded where they land. Each partition writes
 one Arrow IPC file whose rows are sequences of ``SEQ_LEN`` ids (``FixedSizeList<uint16>``, wider
 only for larger vocabularies) with a bit mask of the same shape (false: padding after the last
 id), and a second small Arrow file with the place of each document in it. Lists of fixed size
@@ -8,8 +9,8 @@ are one flat buffer, so a reader maps the file and slices any sequence or docume
 copy. ``start`` of a document counts the ids of all documents before it in the whole corpus.
 
 Encoding: the tokenizer drops white space and never joins a letter or digit with the
-punctuation beside it (contractions aside), so a text is encoded piece by piece and every
-distinct piece only once per worker, as long as it is kept. Texts for which that is not certain
+punctuation beside it (contractions aside), so texts are cut into pieces, many texts at a time,
+and every distinct piece is encoded only once per worker, as long as it is kept. Texts for which that is not certain
 (not in NFC, rare white space, special tokens, unassigned characters, letters whose lower case
 depends on their place) are encoded whole, and so are pieces with numerals that are no decimal
 digits.
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 import os
 import posixpath
-import re
 import sys
 import types
 import unicodedata
@@ -42,10 +42,22 @@ from .common import Scratch, bounded_batches, columns, documents
 SEQ_LEN = 2048
 END_ID = 1
 #: Distinct pieces in one generation of those that a worker keeps encoded; it keeps two.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 400_000
 _BATCH_SEQS = 512
-_PIECE = re.compile(r"(?:[^\w\s]|_)*'[^\W_]+|[^\W_]+|(?:[^\w\s]|_)+")
-_WHOLE = re.compile(r"[^\S \t\n\r\x0b\x0c]|<\||[Σİ\x1c-\x1f]")
+#: Bytes of text cut into pieces at a time (a longer text is cut by itself).
+GROUP_BYTES = 1 << 23
+_SPACE, _LETTER, _MARK, _OTHER, _APOSTROPHE = range(5)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[list(b" \t\n\r\x0b\x0c")] = _SPACE
+_KIND[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = _LETTER
+_KIND[0x80:] = _OTHER
+_KIND[0x27] = _APOSTROPHE
+#: Whether a piece begins between two kinds of bytes (5 * one before + this one). Characters
+#: outside ASCII that may be letters or marks stay with what stands beside them.
+_BEGINS = np.zeros(25, bool)
+_BEGINS[[5 * _SPACE + k for k in (_LETTER, _MARK, _OTHER, _APOSTROPHE)]] = True
+_BEGINS[[5 * _LETTER + _MARK, 5 * _LETTER + _APOSTROPHE, 5 * _MARK + _LETTER]] = True
+_BLANKS = frozenset(" \t\n\r\x0b\x0c")
 
 
 def default_tokenizer() -> str:
@@ -87,27 +99,80 @@ class PieceEncoder:
         self.byte_chars = {b: chr(b) for b in printable} | \
             {b: chr(256 + k) for k, b in enumerate(others)}
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            if piece.isalpha():  # one word of the vocabulary's model; other numerals are not
-                mapped = piece.encode().decode("latin-1").translate(self.byte_chars)
+            text = piece.decode()
+            if text.isalpha():  # one word of the vocabulary's model; other numerals are not
+                mapped = text if text.isascii() else \
+                    piece.decode("latin-1").translate(self.byte_chars)
                 found = [t.id for t in self.tokenizer.model.tokenize(mapped)]
             else:
-                found = self.tokenizer.encode(piece, add_special_tokens=False).ids
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
             ids = array("I", found).tobytes()
             self.pieces.put(piece, ids)
         return ids
 
-    def __call__(self, text: str) -> np.ndarray:
-        # a character unassigned here may be known to the tokenizer's newer Unicode
-        if _WHOLE.search(text) or not text.isascii() and (
-                not unicodedata.is_normalized("NFC", text)
-                or any(unicodedata.category(c) == "Cn" for c in set(text))):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _by_pieces(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of lower-cased texts: every distinct piece of all of them is looked up once."""
+        data = np.frombuffer(b"\n".join([b"", *texts]), np.uint8)
+        kind = _KIND[data]
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))  # U+00C0 to U+017F
+        lead = lead[(data[lead] > 0xC3) | (data[lead + 1] & 0xDF != 0x97)]  # no letters: × and ÷
+        kind[lead] = kind[lead + 1] = _LETTER
+        starts = np.flatnonzero(_BEGINS[kind[:-1] * np.uint8(5) + kind[1:]]) + 1
+        offsets = np.append(starts, len(data))
+        # a piece runs up to the next one; white space behind it is no part of it
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]) \
+            .dictionary_encode()
+        _, bounds, flat = pieces.dictionary.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[:len(pieces.dictionary) + 1].tolist()
+        flat = flat.to_pybytes() if flat else b""
         known, make = self.pieces.new.get, self._piece
-        return np.frombuffer(b"".join([known(p) or make(p) for p in _PIECE.findall(text.lower())]),
-                             np.uint32)
+        found = [known(p) or make(p)
+                 for p in [flat[a:z].rstrip() for a, z in zip(bounds, bounds[1:])]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = pieces.indices
+        ids = pa.LargeListArray.from_arrays(
+            np.concatenate([[0], sizes.cumsum()]), np.frombuffer(b"".join(found), np.uint32)) \
+            .take(which).flatten().to_numpy()
+        before = np.concatenate([[0], sizes[which.to_numpy()].cumsum()])
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = before[np.searchsorted(starts, np.concatenate([[0], ends]))]
+        return [ids[a:z] for a, z in zip(cuts[:-1], cuts[1:])]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        held, size = {}, 0
+        for k, text in enumerate(texts):
+            if _whole(text):
+                out[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
+                                  np.uint32)
+                continue
+            held[k] = text.lower().encode()
+            size += len(held[k])
+            if size >= GROUP_BYTES:
+                for i, ids in zip(held, self._by_pieces(list(held.values()))):
+                    out[i] = ids
+                held, size = {}, 0
+        for i, ids in zip(held, self._by_pieces(list(held.values()))):
+            out[i] = ids
+        return out
+
+    def __call__(self, text: str) -> np.ndarray:
+        return self.encode([text])[0]
+
+
+def _whole(text: str) -> bool:
+    """Whether it is not certain that a text may be cut into pieces."""
+    if "<|" in text:
+        return True
+    if text.isascii():
+        return any(c in text for c in "\x1c\x1d\x1e\x1f")
+    # a character unassigned here may be known to the tokenizer's newer Unicode
+    return any(c in "Σİ" or c.isspace() or unicodedata.category(c) == "Cn"
+               for c in set(text) - _BLANKS) or not unicodedata.is_normalized("NFC", text)
 
 
 def worker_encoder(path: str) -> PieceEncoder:
@@ -119,8 +184,7 @@ def worker_encoder(path: str) -> PieceEncoder:
 
 
 def _file_system(url: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(url if "://" in url or url.startswith("file:")
-                                    else "file://" + url)
+    return pafs.FileSystem.from_uri(url)
 
 
 class _File:
@@ -220,6 +284,20 @@ def read_documents(url: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]
             ids, first = ids[done - first:], done
 
 
+def grouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Rows of consecutive batches together, until they hold ``size`` bytes; never none."""
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.nbytes
+            if n >= size:
+                yield pa.Table.from_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
                  seq_len: int = SEQ_LEN, end_id: int = END_ID) -> DataFrame:
     """Encode and write ``docs`` under ``root``; one row per file: url, base, n_docs, n_ids."""
@@ -234,10 +312,10 @@ def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
         context = TaskContext.get()
 
         def encoded():
-            for b in batches:
-                if b.num_rows:
-                    yield b.column(0).to_pylist(), [np.concatenate([encoder(t or ""), end])
-                                                    for t in b.column(1).to_pylist()]
+            for b in grouped(batches, GROUP_BYTES):
+                texts = [t or "" for t in b.column(1).to_pylist()]
+                yield b.column(0).to_pylist(), [np.concatenate([ids, end])
+                                                for ids in encoder.encode(texts)]
         found = encoded()
         first = next(found, None)
         if first is None:
@@ -253,9 +331,12 @@ def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
             ["part", "url", "n_docs", "n_ids"])
 
     bounded_batches(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)  # without a scheme: the default system's
+    root = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder) \
+        .toUri().toString().replace("file:/", "file:///", 1)
     files = columns(docs, "doc_id", "text") \
         .select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text") \
+        .repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text") \
         .mapInArrow(encode, "part bigint, url string, n_docs bigint, n_ids bigint") \
         .collect()  # one row per file
     base, rows = 0, []
