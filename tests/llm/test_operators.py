@@ -504,6 +504,34 @@ def test_suffix_dedup(docs, rows, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_rows_of_one_id_lose_only_their_own_repeats(spark):
+    rng = random.Random(8)
+    say = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n)).decode()
+    passage, other, far = say(150), say(300), (1 << 60) + 1
+    rows = [(0, passage), (1, passage), (1, other), (None, say(200)), (None, other[:120]),
+            (far, say(90) + passage + "é"), (far, say(400))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r.doc_id, r.n_bytes): r.n_removed
+           for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {(0, 150): 0, (1, 150): 150, (1, 300): 120, (None, 200): 0, (None, 120): 0,
+                   (far, 242): 150, (far, 400): 0}
+
+
+def test_pieces_out_of_the_merge_share_no_window():
+    rng = random.Random(9)
+    common = [bytes(rng.choice(b"abcd") for _ in range(n)) for n in (32, 60, 99, 100, 101, 140)]
+    texts = [b"".join(rng.choice([rng.choice(common), bytes(rng.choice(b"abcd") for _ in range(40))])
+                      for _ in range(6)) for _ in range(120)]
+    cut = suffix_dedup.Pieces()
+    first, _ = suffix_dedup.collapse(np.concatenate([cut(t, i) for i, t in enumerate(texts)]))
+    windows = [{texts[p["doc"]][s:s + 100] for s in range(p["start"], p["start"] + p["run"])}
+               for p in first]
+    seen = collections.Counter(w for found in windows for w in found)
+    keep = suffix_dedup.may_share(first)
+    assert 0 < (~keep).sum() and any(seen[w] > 1 for found in windows for w in found)
+    assert all(keep[k] for k, found in enumerate(windows) if any(seen[w] > 1 for w in found))
+
+
 def test_merged_transforms_are_sorted():
     rng = random.Random(5)
     shards = [np.frombuffer(b"".join(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30)))
