@@ -198,10 +198,13 @@ def may_share(p: np.ndarray) -> np.ndarray:
     return keep
 
 
-def merge_transforms(shards: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+def merge_transforms(shards: list[np.ndarray], length: int,
+                     repeated: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Merge the transforms of shards (bytes, each text ended by 0xFF). Returns the suffixes as
     places in the joined shards, in order of their first ``length`` characters, and where a new
-    interval of equal prefixes begins."""
+    interval of equal prefixes begins. ``repeated``: only intervals of two and more strings inside
+    texts; a suffix alone in its interval is settled, as all that it ends, and so is one before
+    which a text ends, so neither enters a later round."""
     offsets = np.cumsum([0, *map(len, shards)])
     kind = np.int32 if offsets[-1] < 1 << 31 else np.int64
     transform = np.empty(offsets[-1], np.uint8)     # the character before each suffix
@@ -219,12 +222,19 @@ def merge_transforms(shards: list[np.ndarray], length: int) -> tuple[np.ndarray,
     block = np.zeros(offsets[-1], kind)
     for _ in range(length):
         char = transform[suffix]
+        if repeated:
+            inside = char != 0xFF
+            char, suffix, block = char[inside], suffix[inside], block[inside]
         order = np.argsort(char, kind="stable")      # a counting sort of bytes
         char, source = char[order], block[order]
         suffix = before[suffix[order]]
         new = np.ones(len(order), bool)
         new[1:] = (char[1:] != char[:-1]) | (source[1:] != source[:-1])
         block = np.cumsum(new, dtype=kind)
+        if repeated:
+            shared = ~new
+            shared[:-1] |= ~new[1:]
+            suffix, block, new = suffix[shared], block[shared], new[shared]
     return place[suffix], new
 
 
@@ -243,12 +253,10 @@ def merge_bucket(pdf: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
         shards.append(np.frombuffer(b"".join(held), np.uint8))
     sizes = np.array([len(t) + 1 for t in texts])
     first = sizes.cumsum() - sizes
-    place, new = merge_transforms(shards, length)
+    place, new = merge_transforms(shards, length, repeated=True)
     interval = np.cumsum(new)
     piece = np.searchsorted(first, place, side="right") - 1
     offset = place - first[piece]
-    whole = offset + length < sizes[piece]           # a window inside its piece
-    interval, piece, offset = interval[whole], piece[whole], offset[whole]
     doc, key = (pdf[c].to_numpy(np.int64)[piece] for c in ("doc_id", "key"))
     start = pdf["start"].to_numpy(np.int64)[piece] + offset
     order = np.lexsort((start, key, doc, interval))
