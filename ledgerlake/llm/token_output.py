@@ -42,10 +42,10 @@ from .common import Scratch, bounded_batches, columns, documents
 SEQ_LEN = 2048
 END_ID = 1
 #: Distinct pieces in one generation of those that a worker keeps encoded; it keeps two.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 _BATCH_SEQS = 512
 #: Bytes of text cut into pieces at a time (a longer text is cut by itself).
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 _SPACE, _LETTER, _MARK, _OTHER, _APOSTROPHE = range(5)
 _KIND = np.full(256, _MARK, np.uint8)
 _KIND[list(b" \t\n\r\x0b\x0c")] = _SPACE
