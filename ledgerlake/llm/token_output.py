@@ -45,7 +45,7 @@ END_ID = 1
 CACHE_PIECES = 250_000
 _BATCH_SEQS = 512
 #: Bytes of text cut into pieces at a time (a longer text is cut by itself).
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 20
 _SPACE, _LETTER, _MARK, _OTHER, _APOSTROPHE = range(5)
 _KIND = np.full(256, _MARK, np.uint8)
 _KIND[list(b" \t\n\r\x0b\x0c")] = _SPACE
@@ -326,6 +326,7 @@ def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
             yield first
             yield from found
         n_docs, n_ids = write_sequences(url, all_docs(), seq_len, dtype, context.taskAttemptId())
+        pa.default_memory_pool().release_unused()  # the worker stays, for other tasks too
         yield pa.RecordBatch.from_arrays(
             [pa.array([x]) for x in (context.partitionId(), url, n_docs, n_ids)],
             ["part", "url", "n_docs", "n_ids"])

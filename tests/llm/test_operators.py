@@ -486,6 +486,20 @@ def test_pieces_equal_whole_texts():
         assert encoder(text).tolist() == whole(text), hex(c)
 
 
+def test_encoding_holds_little_beside_the_ids():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 2000, 6000)) for _ in range(200)]  # 6 MB
+    encoder = token_output.PieceEncoder(token_output.default_tokenizer())
+    encoder.encode(texts[:20])
+    tracemalloc.start()
+    try:
+        encoder.encode(texts)
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_suffix_dedup(docs, rows, none):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     seen, want = {}, []
