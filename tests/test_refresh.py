@@ -147,3 +147,36 @@ def test_cli_run_full_refresh_and_tests(spark, scratch, capsys):
     assert main(["data-tests", "--root", f"{scratch}/lake"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[1:]]
     assert len(lines) == 20 and {x["status"] for x in lines} <= {"pass", "fail", "warn"}
+
+
+def test_batch_of_one_date_is_written_by_several_tasks(spark, scratch):
+    """140,000 rows of one date: 15 MB, which AQE takes for one partition of the rebalance."""
+    k = F.col("id").cast("string")
+    day = F.lit("2024-01-01 ")
+    raw_t = spark.range(140_000).select(
+        F.md5(k).alias("transaction_id"), F.concat(F.lit("A"), k).alias("account_id"),
+        F.lit(10.0).alias("amount"), F.lit("USD").alias("currency"),
+        F.lit("debit").alias("transaction_type"), F.md5(F.reverse(k)).alias("merchant_id"),
+        F.concat(day, F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00"))
+        .alias("timestamp"), F.lit("completed").alias("status"), F.lit("EU").alias("region"),
+        F.lit("api").alias("channel"), F.lit("10.0.0.1").alias("ip_address"),
+        F.lit("D").alias("device_id"), F.concat(day, F.lit("01:00:00")).alias("ingested_at"))
+    raw_f = raw_t.select(
+        "transaction_id", F.lit(0.9).alias("fraud_score"), F.lit(True).alias("is_flagged"),
+        F.array(F.lit("x")).alias("fraud_reasons"), F.lit("m").alias("model_version"),
+        F.col("ingested_at").alias("scored_at"))
+    incremental_refresh(spark, raw_t, raw_f, f"{scratch}/lake")
+    tables = {n: spark.read.parquet(table_paths(f"{scratch}/lake")[n]) for n in (
+        "int_transactions_enriched", "mart_fraud_detection", "mart_compliance")}
+    tables["scores_by_date"] = spark.read.parquet(f"{scratch}/lake/index/scores_by_date")
+    for name, table in tables.items():
+        assert len(table.inputFiles()) > 1, name
+        assert table.count() == 140_000, name
+
+
+def test_frames_without_rows_run_no_tasks(spark, scratch):
+    from ledgerlake.schemas import STG_TRANSACTIONS
+    from ledgerlake.sources.store import read_parts
+    empty = read_parts(spark, f"{scratch}/none", STG_TRANSACTIONS, ["transaction_date=x"])
+    assert empty.schema == STG_TRANSACTIONS
+    assert empty.rdd.getNumPartitions() == 0
