@@ -16,11 +16,13 @@ documents are separate rows; other columns are not read; empty tables give what
 
 Scale: documents are never shuffled. The benchmark is the stated query set: it is dealt to
 blocks of at most ``BLOCK_WORDS`` words on average, one pass over the rows each in the same
-stage, so what a worker holds of it is bounded."""
+stage, so what a worker holds of it is bounded. The last pass also gives the result: every pass
+of a stage keeps a Python worker of its own on each core, whose memory stays taken afterwards."""
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -174,46 +176,54 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str],
     carried = [F.col(f"`{c}`") for c in carry]
     state = docs.select(F.col("text").alias("_text"), F.lit(b"").alias("_spans"),
                         F.lit("").alias("_items"), F.lit(0).cast("long").alias("_n"), *carried)
-    schema = state.schema
+    schema, out = state.schema, docs.select(*carried).schema
+    for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"),
+                       ("items_sha256", "string"), ("contaminated", "boolean"),
+                       ("spans", "binary")):
+        out = out.add(name, kind)
     for k in range(n_blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) \
             .orderBy("item_id", "text").collect()  # one block of the query set
         block = spark.sparkContext.broadcast(([r.item_id for r in part],
                                               [r.text.encode() for r in part]))
 
-        def visit(batches, block=block):
-            hasher, items = WordHasher(), Block(*block.value)
-            for batch in batches:
-                held, first = [], 0
-                texts = raw_texts(batch.column(0))
-                for i, t in enumerate(texts):
-                    held.append(hasher(t))
-                    if sum(map(len, held)) >= SHARD_WORDS:
-                        yield _shard(batch.slice(first, i + 1 - first), held, items)
-                        held, first = [], i + 1
-                if held:
-                    yield _shard(batch.slice(first), held, items)
-        state = state.mapInArrow(visit, schema)
-
-    def finish(batches):
-        for b in batches:
-            n_hit, n_items, digest = [], [], []
-            for spans, found, n in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
-                n_hit.append(_covered(np.frombuffer(spans, "<i4").reshape(-1, 2), n))
-                ids = sorted(set(found.split("\n")[1:]))
-                n_items.append(len(ids))
-                digest.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[4:], b.column(3), pa.array(n_hit, pa.int64()),
-                 pa.array(n_items, pa.int64()), pa.array(digest),
-                 pa.array([h > 0 for h in n_hit]), b.column(1)],
-                [*carry, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-    out = docs.select(*carried).schema
-    for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"),
-                       ("items_sha256", "string"), ("contaminated", "boolean"),
-                       ("spans", "binary")):
-        out = out.add(name, kind)
-    return state.mapInArrow(finish, out)
+        last = k == n_blocks - 1
+
+        def visit(batches, block=block, last=last):
+            found = _visited(batches, Block(*block.value))
+            yield from (_finished(b, carry) for b in found) if last else found
+        state = state.mapInArrow(visit, out if last else schema)
+    return state
+
+
+def _visited(batches: Iterator[pa.RecordBatch], items: Block) -> Iterator[pa.RecordBatch]:
+    """The rows, shard by shard, with the block's matches added to their state."""
+    hasher = WordHasher()
+    for batch in batches:
+        held, first = [], 0
+        texts = raw_texts(batch.column(0))
+        for i, t in enumerate(texts):
+            held.append(hasher(t))
+            if sum(map(len, held)) >= SHARD_WORDS:
+                yield _shard(batch.slice(first, i + 1 - first), held, items)
+                held, first = [], i + 1
+        if held:
+            yield _shard(batch.slice(first), held, items)
+
+
+def _finished(b: pa.RecordBatch, carry: list[str]) -> pa.RecordBatch:
+    """The result columns of rows that every block has visited."""
+    n_hit, n_items, digest = [], [], []
+    for spans, found, n in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
+        n_hit.append(_covered(np.frombuffer(spans, "<i4").reshape(-1, 2), n))
+        ids = sorted(set(found.split("\n")[1:]))
+        n_items.append(len(ids))
+        digest.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+    return pa.RecordBatch.from_arrays(
+        [*b.columns[4:], b.column(3), pa.array(n_hit, pa.int64()),
+         pa.array(n_items, pa.int64()), pa.array(digest, pa.string()),
+         pa.array([h > 0 for h in n_hit], pa.bool_()), b.column(1)],
+        [*carry, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
 
 
 def _shard(rows: pa.RecordBatch, docs: list[np.ndarray], block: Block) -> pa.RecordBatch:

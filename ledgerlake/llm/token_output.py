@@ -209,6 +209,8 @@ def sequence_schema(seq_len: int, dtype: np.dtype) -> pa.Schema:
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
+_FILES = pa.schema([("url", pa.string()), ("base", pa.int64()), ("n_docs", pa.int64()),
+                    ("n_ids", pa.int64())])
 
 
 def write_sequences(url: str, docs: Iterator[tuple[list, list[np.ndarray]]], seq_len: int,
@@ -344,7 +346,10 @@ def write_corpus(docs: DataFrame, root: str, tokenizer: Callable[[], str] | str,
     for f in sorted(files):
         rows.append((f.url, base, f.n_docs, f.n_ids))
         base += f.n_ids
-    return spark.createDataFrame(rows, "url string, base bigint, n_docs bigint, n_ids bigint")
+    # as Arrow: a list would be read by Python workers of another kind, kept beside these
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(_FILES.types)],
+        schema=_FILES))
 
 
 def read_corpus(files: DataFrame) -> DataFrame:

@@ -443,6 +443,23 @@ def test_decontamination(spark, docs, rows, none):
     assert decontaminate.find_contamination(none, table, none.columns).count() == 0
 
 
+def test_few_python_workers(spark, docs, rows, tmp_path):
+    """A worker stays, with its memory, for each Python step that a task runs at once, and for
+    each kind of Python that any task needs."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    table = spark.createDataFrame([(1, rows[14][1])], "item_id bigint, text string")
+    found = decontaminate.find_contamination(docs, table, ["doc_id"])
+    assert plan(found).count("MapInArrow") == 1
+    assert sum(r.contaminated for r in found.collect()) > 0
+    files = token_output.write_corpus(docs, str(tmp_path / "out"), token_output.default_tokenizer)
+    assert "ExistingRDD" not in plan(files)
+    written = files.collect()
+    assert [f.base for f in written] == [sum(f.n_ids for f in written[:k])
+                                         for k in range(len(written))]
+    assert sum(f.n_docs for f in written) == len(rows)
+
+
 def test_longest_matches():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 3, 300)
